@@ -3,11 +3,11 @@ built-in Catalyst expressions, so it stays inside whole-stage codegen."""
 
 from quire.functions.text import mentions, tokens, vocab_array, term_index, check_vocab
 from quire.functions.buckets import working_status, sex_bucket, age_bucket, hours_sum, quoted
-from quire.functions.geometry import nearest_center, sq_distance
+from quire.functions.geometry import int_div, nearest_center, sq_distance
 from quire.functions.hashing import md5_rank_key, md5_bucket
 
 __all__ = [
     "mentions", "tokens", "vocab_array", "term_index", "check_vocab",
     "working_status", "sex_bucket", "age_bucket", "hours_sum", "quoted",
-    "nearest_center", "sq_distance", "md5_rank_key", "md5_bucket",
+    "nearest_center", "sq_distance", "int_div", "md5_rank_key", "md5_bucket",
 ]

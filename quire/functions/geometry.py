@@ -39,3 +39,8 @@ def nearest_center(x: Column | str, y: Column | str,
              for cid, cx, cy in centers]
     best = terms[0] if len(terms) == 1 else F.least(*terms)
     return best.getField("id")
+
+
+def int_div(a: Column, b: Column) -> Column:
+    """Integer division truncated toward zero (SQL `a div b`), exact for 64-bit values."""
+    return F.call_function("div", a, b)

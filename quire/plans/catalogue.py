@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quire.operators import timeuse
+from quire.operators import articles, clustering, postings, timeuse
+from quire.plans import params as P
 from quire.sources import csv as csv_source
-from quire.sources import tables
+from quire.sources import lines, tables
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -45,7 +47,157 @@ def time_usage_grouped_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeuse.time_usage_grouped_typed(time_usage_typed(spark, sf_dir))
 
 
+# --- articles -------------------------------------------------------------
+
+def parse_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.parse_articles(tables.article_lines_view(spark, sf_dir), line_col="line")
+
+
+def mentions_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return articles.mentions_filter(tables.articles_view(spark, sf_dir), P.MENTION_TERM).select("title")
+
+
+def occurrences_of_term(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return articles.occurrences_of_term(tables.articles_view(spark, sf_dir), P.MENTION_TERM)
+
+
+def rank_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return articles.rank_terms(tables.articles_view(spark, sf_dir), P.ARTICLE_VOCAB)
+
+
+def rank_terms_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return articles.rank_terms_agg(tables.articles_view(spark, sf_dir), P.ARTICLE_VOCAB)
+
+
+def inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return articles.inverted_index(tables.articles_view(spark, sf_dir), P.ARTICLE_VOCAB)
+
+
+def inverted_index_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = articles.inverted_index_blocks(inverted_index(spark, sf_dir), P.ARTICLE_VOCAB, P.INDEX_BLOCK_SIZE)
+    return blocks.select("term", "block", "n", F.array_join("titles", ",").alias("titles"))
+
+
+def rank_terms_using_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return articles.rank_terms_using_index(inverted_index(spark, sf_dir), P.ARTICLE_VOCAB)
+
+
+def top_term(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return articles.top_term(rank_terms(spark, sf_dir))
+
+
+# --- postings -------------------------------------------------------------
+
+def parse_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.parse_postings(tables.posting_lines_view(spark, sf_dir), line_col="line")
+
+
+def grouped_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = postings.grouped_postings(tables.postings_view(spark, sf_dir))
+    return g.select("qid", F.col("q_tag").alias("tag"), F.col("a_id").alias("answer_id"),
+                    F.col("a_score").alias("score"))
+
+
+def scored_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.scored_postings(tables.postings_view(spark, sf_dir)).select("id", "tag", "high_score")
+
+
+def vectors(spark: SparkSession, sf_dir: str, spread: int = P.SPREAD) -> DataFrame:
+    scored = postings.scored_postings(tables.postings_view(spark, sf_dir))
+    return postings.vector_postings(scored, P.POSTING_VOCAB, spread)
+
+
+def vector_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.vector_count(vectors(spark, sf_dir))
+
+
+def distinct_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.distinct_vectors(vectors(spark, sf_dir))
+
+
+# --- clustering -----------------------------------------------------------
+
+def sample_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.sample_vectors(vectors(spark, sf_dir), len(P.POSTING_VOCAB), P.KERNELS, P.SEED)
+
+
+def sample_vectors_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.sample_vectors_global(vectors(spark, sf_dir), P.KERNELS, P.SEED)
+
+
+def _initial(spark: SparkSession, sf_dir: str, spread: int) -> list[tuple[int, int, int]]:
+    vec = vectors(spark, sf_dir, spread)
+    return clustering.collect_centers(
+        clustering.initial_centers(vec, P.POSTING_VOCAB, spread, P.KERNELS, P.SEED))
+
+
+def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = clustering.weighted_points(vectors(spark, sf_dir))
+    return clustering.kmeans_assign(points, _initial(spark, sf_dir, P.SPREAD))
+
+
+def kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = clustering.weighted_points(vectors(spark, sf_dir))
+    return clustering.kmeans_step(points, _initial(spark, sf_dir, P.SPREAD))
+
+
+def run_kmeans(spark: SparkSession, sf_dir: str, spread: int = P.SPREAD, compact: bool = True):
+    """Points, initial centres and the finished k-means run for `spread`."""
+    points = clustering.weighted_points(vectors(spark, sf_dir, spread), compact=compact)
+    result = clustering.kmeans(points, _initial(spark, sf_dir, spread), P.ETA, P.MAX_ITERATIONS)
+    return points, result
+
+
+def kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_kmeans(spark, sf_dir)[1].centers_frame(spark)
+
+
+def kmeans_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_kmeans(spark, sf_dir)[1].totals_frame(spark)
+
+
+def _cluster_results(spark: SparkSession, sf_dir: str, spread: int) -> DataFrame:
+    points, result = run_kmeans(spark, sf_dir, spread)
+    return clustering.cluster_results(points, result.centers, P.POSTING_VOCAB, spread)
+
+
+def cluster_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cluster_results(spark, sf_dir, P.SPREAD)
+
+
+def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster_report(cluster_results(spark, sf_dir))
+
+
+def cluster_results_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cluster_results(spark, sf_dir, P.MIXED_SPREAD)
+
+
 QUERIES: dict[str, Plan] = {
+    "parse_articles": parse_articles,
+    "mentions_filter": mentions_filter,
+    "occurrences_of_term": occurrences_of_term,
+    "rank_terms": rank_terms,
+    "rank_terms_agg": rank_terms_agg,
+    "inverted_index": inverted_index,
+    "inverted_index_arrays": inverted_index_arrays,
+    "rank_terms_using_index": rank_terms_using_index,
+    "top_term": top_term,
+    "parse_postings": parse_postings,
+    "grouped_postings": grouped_postings,
+    "scored_postings": scored_postings,
+    "vector_postings": vectors,
+    "vector_count": vector_count,
+    "distinct_vectors": distinct_vectors,
+    "sample_vectors": sample_vectors,
+    "sample_vectors_global": sample_vectors_global,
+    "kmeans_assign": kmeans_assign,
+    "kmeans_step": kmeans_step,
+    "kmeans": kmeans,
+    "kmeans_trace": kmeans_trace,
+    "cluster_results": cluster_results,
+    "cluster_report": cluster_report,
+    "cluster_results_mixed": cluster_results_mixed,
     "classify_columns": classify_columns,
     "typed_rows": typed_rows,
     "time_usage_summary": time_usage_summary,

@@ -3,6 +3,10 @@ base tables only: every input view is inlined as a CTE."""
 
 from __future__ import annotations
 
+from quire.plans.params import (ARTICLE_VOCAB, ETA, INDEX_BLOCK_SIZE, KERNELS, MAX_ITERATIONS,
+                                MENTION_TERM, MIXED_SPREAD, POSTING_VOCAB, SEED, SPREAD)
+from quire.sources.tables import WIDE_MINUTE_COLUMNS
+
 # --- input views ----------------------------------------------------------
 
 V_ARTICLES = "v_articles AS (SELECT concat('doc', doc_id) AS title, text FROM documents)"
@@ -12,13 +16,6 @@ V_ARTICLE_LINES = """v_article_lines AS (
                         replace(text, chr(10), ' '), '</text></page>YY') AS line
   FROM documents)"""
 
-# Vocabulary of the article queries, in rank tie-break order.
-ARTICLE_VOCAB = ["the", "of", "and", "to", "a", "in", "is", "that",
-                 "der", "die", "und", "la", "que", "le", "zzqx"]
-
-# Vocabulary of the posting queries (order priorities as tags).
-POSTING_VOCAB = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]
-
 
 def vocab_cte(vocab: list[str], name: str = "vocab") -> str:
     rows = ", ".join(f"({i}, '{t}')" for i, t in enumerate(vocab))
@@ -89,13 +86,6 @@ km(it, i, x, y, moved) AS (
 final AS (SELECT i AS center_id, x, y FROM km WHERE it = (SELECT max(it) FROM km))"""
 
 
-# The minute columns of the wide fixture, in order.
-WIDE_MINUTE_COLUMNS = [
-    "t010101", "t010102", "t030101", "t110101", "t180101", "t180301", "t050101",
-    "t050102", "t180501", "t020101", "t040101", "t060101", "t080101", "t120101",
-    "t130101", "t150101", "t160101", "t180201", "t170101", "t500101",
-]
-
 
 def v_wide() -> str:
     sums = ",\n         ".join(
@@ -172,3 +162,132 @@ SQL: dict[str, str] = {
     "time_usage_grouped_sql": with_(v_wide(), V_SUMMARY) + GROUPED,
     "time_usage_grouped_typed": with_(v_wide(), V_SUMMARY) + GROUPED,
 }
+
+
+# --- articles -------------------------------------------------------------
+
+def _mentions(term_sql: str, text: str = "a.text") -> str:
+    return f"list_contains(string_split({text}, ' '), {term_sql})"
+
+
+_ART = with_(V_ARTICLES, vocab_cte(ARTICLE_VOCAB))
+_RANK = _ART + f"""SELECT v.term, count(a.title) AS n
+FROM vocab v LEFT JOIN v_articles a ON {_mentions('v.term')}
+GROUP BY v.term"""
+
+_INDEX = f"""idx AS (SELECT v.term, a.title FROM vocab v JOIN v_articles a ON {_mentions('v.term')})"""
+
+
+def _index_blocks_sql(block_size: int = INDEX_BLOCK_SIZE) -> str:
+    return with_(V_ARTICLES, vocab_cte(ARTICLE_VOCAB), _INDEX,
+                 "h AS (SELECT term, title, ('0x' || substr(md5(title), 1, 8))::BIGINT >> 12 AS fine FROM idx)",
+                 "tot AS (SELECT term, count(*) AS n_term FROM h GROUP BY term)",
+                 f"""b AS (SELECT h.term, (h.fine * CAST(greatest(1, ceil(tot.n_term / {block_size})) AS BIGINT)) >> 20
+                           AS block, h.title FROM h JOIN tot ON h.term = tot.term)""") + """
+SELECT term, block, count(*) AS n, string_agg(DISTINCT title, ',' ORDER BY title) AS titles
+FROM b GROUP BY term, block
+UNION ALL
+SELECT term, 0, 0, '' FROM vocab WHERE term NOT IN (SELECT term FROM tot)"""
+
+
+_DELIM = "instr(line, '</title><text>')"
+
+ARTICLE_SQL = {
+    "parse_articles": with_(V_ARTICLE_LINES) + f"""SELECT substr(line, 15, {_DELIM} - 15) AS title,
+       substr(line, {_DELIM} + 14, length(line) - 16 - ({_DELIM} + 14) + 1) AS text
+FROM v_article_lines""",
+    "mentions_filter": with_(V_ARTICLES)
+        + f"SELECT title FROM v_articles a WHERE {_mentions(repr(MENTION_TERM))}",
+    "occurrences_of_term": with_(V_ARTICLES)
+        + f"SELECT count(*) FILTER (WHERE {_mentions(repr(MENTION_TERM))}) AS n FROM v_articles a",
+    "rank_terms": _RANK,
+    "rank_terms_agg": _RANK,
+    "rank_terms_using_index": _RANK,
+    "inverted_index": with_(V_ARTICLES, vocab_cte(ARTICLE_VOCAB), _INDEX) + "SELECT term, title FROM idx",
+    "inverted_index_arrays": _index_blocks_sql(),
+    "top_term": _ART + f"""SELECT v.term, count(a.title) AS n
+FROM vocab v LEFT JOIN v_articles a ON {_mentions('v.term')}
+GROUP BY v.idx, v.term ORDER BY n DESC, v.idx LIMIT 1""",
+}
+
+
+# --- postings -------------------------------------------------------------
+
+_POST = with_(V_POSTINGS, V_SCORED, v_vectors(SPREAD))
+
+POSTING_SQL = {
+    "parse_postings": with_(V_POSTINGS, V_POSTING_LINES) + """SELECT CAST(s[1] AS INT) AS posting_type,
+       CAST(s[2] AS BIGINT) AS id, CAST(nullif(s[3], '') AS BIGINT) AS accepted_answer,
+       CAST(nullif(s[4], '') AS BIGINT) AS parent_id, CAST(s[5] AS INT) AS score, nullif(s[6], '') AS tag
+FROM (SELECT string_split(line, ',') AS s FROM v_posting_lines) t""",
+    "grouped_postings": with_(V_POSTINGS) + """SELECT q.id AS qid, q.tag AS tag, a.id AS answer_id, a.score AS score
+FROM v_postings q JOIN v_postings a ON a.parent_id = q.id
+WHERE q.posting_type = 1 AND a.posting_type = 2""",
+    "scored_postings": with_(V_POSTINGS, V_SCORED) + "SELECT id, tag, high_score FROM v_scored",
+    "vector_postings": _POST + "SELECT x, y FROM v_vectors",
+    "vector_count": _POST + "SELECT count(*) AS n FROM v_vectors",
+    "distinct_vectors": _POST + "SELECT DISTINCT x, y FROM v_vectors",
+}
+
+
+# --- clustering -----------------------------------------------------------
+
+def _label_case(spread: int) -> str:
+    whens = " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(POSTING_VOCAB))
+    return f"CASE x // {spread} {whens} END"
+
+
+def _assign_to(centers: str) -> str:
+    return f"""asg AS (SELECT pw.x, pw.y, pw.w, c.center_id,
+         row_number() OVER (PARTITION BY pw.x, pw.y
+           ORDER BY (pw.x-c.x)*(pw.x-c.x) + (pw.y-c.y)*(pw.y-c.y), c.center_id) AS rn
+  FROM pw CROSS JOIN {centers} c),
+a AS (SELECT x, y, w, center_id FROM asg WHERE rn = 1)"""
+
+
+_PW = "pw AS (SELECT x, y, count(*) AS w FROM v_vectors GROUP BY x, y)"
+
+
+def _cluster_sql(spread: int, centers_cte: str) -> str:
+    return with_(V_POSTINGS, V_SCORED, v_vectors(spread), centers_cte, kmeans_cte(ETA, MAX_ITERATIONS),
+                 _assign_to("final"),
+                 "lab AS (SELECT center_id, x, sum(w) AS n FROM a GROUP BY center_id, x)",
+                 """top AS (SELECT center_id, x, n, sum(n) OVER (PARTITION BY center_id) AS size,
+                   row_number() OVER (PARTITION BY center_id ORDER BY n DESC, x) AS r FROM lab)""",
+                 """med AS (SELECT a.center_id, CAST(floor(quantile_cont(v.y, 0.5)) AS BIGINT) AS median
+                   FROM a JOIN v_vectors v ON v.x = a.x AND v.y = a.y GROUP BY a.center_id)""",
+                 f"""res AS (SELECT top.center_id, {_label_case(spread)} AS label,
+                   CAST(100.0 AS DOUBLE) * n / size AS percent, CAST(size AS BIGINT) AS size, med.median
+                   FROM top JOIN med ON top.center_id = med.center_id WHERE r = 1)""",
+                 recursive=True)
+
+
+_PER_TAG_CENTERS = v_centers(KERNELS // len(POSTING_VOCAB), SEED)
+_GLOBAL_CENTERS = v_centers_global(KERNELS, SEED)
+_KM = with_(V_POSTINGS, V_SCORED, v_vectors(SPREAD), _PER_TAG_CENTERS, kmeans_cte(ETA, MAX_ITERATIONS),
+            recursive=True)
+
+CLUSTER_SQL = {
+    "sample_vectors": _POST.rstrip("\n") + ",\n" + _PER_TAG_CENTERS + "\nSELECT center_id, x, y FROM v_centers",
+    "sample_vectors_global": _POST + f"""SELECT x, y FROM (SELECT DISTINCT x, y FROM v_vectors) d
+ORDER BY md5(concat_ws(':', x, y, {SEED})), x, y LIMIT {KERNELS}""",
+    "kmeans_assign": with_(V_POSTINGS, V_SCORED, v_vectors(SPREAD), _PER_TAG_CENTERS, _PW, _assign_to("v_centers"))
+        + "SELECT center_id, CAST(sum(w) AS BIGINT) AS n FROM a GROUP BY center_id",
+    "kmeans_step": with_(V_POSTINGS, V_SCORED, v_vectors(SPREAD), _PER_TAG_CENTERS, _PW, _assign_to("v_centers"),
+                         """n AS (SELECT center_id, CAST(sum(x*w) // sum(w) AS BIGINT) AS x,
+                                   CAST(sum(y*w) // sum(w) AS BIGINT) AS y FROM a GROUP BY center_id)""")
+        + """SELECT c.center_id, coalesce(n.x, c.x) AS x, coalesce(n.y, c.y) AS y
+FROM v_centers c LEFT JOIN n ON c.center_id = n.center_id""",
+    "kmeans": _KM + "SELECT center_id, x, y FROM final",
+    "kmeans_trace": _KM + "SELECT DISTINCT it AS iteration, moved FROM km WHERE it > 0",
+    "cluster_results": _cluster_sql(SPREAD, _PER_TAG_CENTERS)
+        + "SELECT center_id, label, percent, size, median FROM res",
+    "cluster_report": _cluster_sql(SPREAD, _PER_TAG_CENTERS)
+        + "SELECT printf('%7d  %-17s (%-5.1f%%)      %7d', median, label, percent, size) AS line FROM res",
+    "cluster_results_mixed": _cluster_sql(MIXED_SPREAD, _GLOBAL_CENTERS)
+        + "SELECT center_id, label, percent, size, median FROM res",
+}
+
+SQL.update(ARTICLE_SQL)
+SQL.update(POSTING_SQL)
+SQL.update(CLUSTER_SQL)
