@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import check_vocab, mentions, term_index, tokens, vocab_array
+from quire.session import ensure_checkpoint_dir
 
 # Fine hash buckets per term in the first stage of `inverted_index_blocks`
 # (2^FINE_BITS). A term's titles are spread over at most this many groups
@@ -92,19 +93,25 @@ def rank_terms_using_index(index: DataFrame, vocab: Sequence[str]) -> DataFrame:
     return _ordered(_zero_filled_counts(index.select("term"), vocab), vocab)
 
 
-def inverted_index_blocks(index: DataFrame, vocab: Sequence[str], block_size: int = 10_000) -> DataFrame:
-    """Posting lists in bounded blocks: (term, block, n, titles).
+def inverted_index_blocks(index: DataFrame, vocab: Sequence[str], block_size: int = 10_000,
+                          materialize: bool = True) -> DataFrame:
+    """Posting lists in bounded blocks: (term, block, n, titles, n_term, n_titles).
 
     Each term's postings are cut into ceil(n_term / block_size) blocks by a
     hash of the title, so a block holds about `block_size` postings however
-    hot the term is; `titles` is the sorted array of distinct titles of the
-    block, `n` its number of postings (copies included). A term without
-    postings gets one row (block 0, n 0, no titles).
-
-    Plan: stage 1 groups (term, fine hash bucket) with map-side de-duplication
-    of titles; the per-term totals and the block cut both read stage 1's
-    shuffle output (the exchange is reused, the text is scanned once); the
-    totals table has at most |vocab| rows and is broadcast.
+    hot the term is. Per block: `titles` is the sorted array of its distinct
+    titles and `n` its number of postings (copies included); per term,
+    repeated on each of its blocks: `n_term` postings and `n_titles`
+    distinct titles. A term without postings gets one row (block 0, zeros,
+    no titles).
+
+    Plan: stage 1 groups (term, fine hash bucket) with map-side
+    de-duplication of titles; no group holds more than 2^-20 of a term.
+    With `materialize` it is checkpointed into `spark.checkpoint.dir`: the
+    text is scanned once (one job runs here) and the per-term totals, the
+    block cut and the empty-term rows all read the checkpoint. Without it
+    the plan stays lazy and each of the three reads re-derives stage 1 from
+    the text. The totals have at most |vocab| rows and are broadcast.
     """
     vocab = check_vocab(vocab)
     if block_size < 1:
@@ -112,17 +119,22 @@ def inverted_index_blocks(index: DataFrame, vocab: Sequence[str], block_size: in
     h = F.conv(F.substring(F.md5(F.col("title").cast("string")), 1, 8), 16, 10).cast("bigint")
     fine = index.groupBy("term", F.shiftright(h, 32 - FINE_BITS).alias("fine")).agg(
         F.count(F.lit(1)).alias("n"), F.collect_set("title").alias("titles"))
-    totals = fine.groupBy("term").agg(F.sum("n").alias("n_term"))
+    if materialize:
+        ensure_checkpoint_dir(index.sparkSession)
+        fine = fine.checkpoint(eager=True)
+    totals = F.broadcast(fine.groupBy("term").agg(
+        F.sum("n").alias("n_term"), F.sum(F.size("titles")).alias("n_titles")))
     nblocks = F.greatest(F.lit(1), F.ceil(F.col("n_term") / F.lit(block_size))).cast("bigint")
-    blocked = (fine.join(F.broadcast(totals), "term")
-               .withColumn("block", F.shiftright(F.col("fine") * nblocks, FINE_BITS)))
-    blocks = blocked.groupBy("term", "block").agg(
-        F.sum("n").alias("n"), F.array_sort(F.flatten(F.collect_list("titles"))).alias("titles"))
-    spark = index.sparkSession
-    vocab_df = spark.createDataFrame([(t,) for t in vocab], "term string")
-    empty = (vocab_df.join(F.broadcast(totals), "term", "left_anti")
+    blocks = (fine.join(totals, "term")
+              .withColumn("block", F.shiftright(F.col("fine") * nblocks, FINE_BITS))
+              .groupBy("term", "block")
+              .agg(F.sum("n").alias("n"), F.array_sort(F.flatten(F.collect_list("titles"))).alias("titles"),
+                   F.first("n_term").alias("n_term"), F.first("n_titles").alias("n_titles")))
+    vocab_df = index.sparkSession.createDataFrame([(t,) for t in vocab], "term string")
+    empty = (vocab_df.join(totals, "term", "left_anti")
              .select("term", F.lit(0).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("n"),
-                     F.array().cast("array<string>").alias("titles")))
+                     F.array().cast("array<string>").alias("titles"),
+                     F.lit(0).cast("bigint").alias("n_term"), F.lit(0).cast("bigint").alias("n_titles")))
     return blocks.unionByName(empty)
 
 

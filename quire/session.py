@@ -48,9 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder does not survive the loss of that machine.
     """
     sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
