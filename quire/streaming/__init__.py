@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The workloads this library covers are batch-only (no watermarks, windows
+over event time, state or late data anywhere in them), so there is no
+streaming operator to provide. Every operator takes and returns a
+DataFrame, so a caller can apply the per-batch ones inside
+`writeStream.foreachBatch` without anything from this package.
+"""
