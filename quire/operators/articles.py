@@ -33,8 +33,9 @@ def occurrences_of_term(articles: DataFrame, term: str) -> DataFrame:
 
 def _present_terms(text: Column | str, vocab: Sequence[str]) -> Column:
     """Distinct vocabulary terms among the tokens of `text` (at most one
-    entry per term however long the article is)."""
-    return F.array_intersect(vocab_array(vocab), tokens(text))
+    entry per term however long the article is). The vocabulary is the
+    hashed side; the tokens are streamed once."""
+    return F.array_intersect(tokens(text), vocab_array(vocab))
 
 
 def _ordered(counts: DataFrame, vocab: Sequence[str]) -> DataFrame:
