@@ -35,6 +35,13 @@ def weighted_points(vectors: DataFrame, compact: bool = True) -> DataFrame:
     return vectors.select("x", "y", F.lit(1).cast("bigint").alias("w"))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into `spark.checkpoint.dir`: computed once now,
+    read back by every later use, lineage cut (survives executor loss)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def distinct_vectors(vectors: DataFrame) -> DataFrame:
     return vectors.select("x", "y").distinct()
 
@@ -172,15 +179,15 @@ def kmeans(points: DataFrame, centers: Centers, eta: float = DEFAULT_ETA,
     updates have run.
 
     The weighted points are checkpointed once into `spark.checkpoint.dir`
-    (lineage cut, survives executor loss); every round is then one small
-    aggregate over them whose k result rows come back to the driver.
+    (lineage cut, survives executor loss; pass `checkpoint=False` when they
+    already are); every round is then one small aggregate over them whose k
+    result rows come back to the driver.
     """
     if not centers:
         raise ValueError("no initial centres")
     pts = points.select("x", "y", "w")
     if checkpoint:
-        ensure_checkpoint_dir(pts.sparkSession)
-        pts = pts.checkpoint(eager=True)
+        pts = materialize(pts)
     current = sorted(centers)
     trace: list[tuple[int, int, int, int, int, int, float]] = []
     it, total = 0, float("inf")

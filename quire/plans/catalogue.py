@@ -142,9 +142,15 @@ def kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_kmeans(spark: SparkSession, sf_dir: str, spread: int = P.SPREAD, compact: bool = True):
-    """Points, initial centres and the finished k-means run for `spread`."""
-    points = clustering.weighted_points(vectors(spark, sf_dir, spread), compact=compact)
-    result = clustering.kmeans(points, _initial(spark, sf_dir, spread), P.ETA, P.MAX_ITERATIONS)
+    """Weighted points and the finished k-means run for `spread`.
+
+    The points are materialised once; the initial sample, every round and
+    the later cluster summary all read that checkpoint, so the base tables
+    are scanned once."""
+    points = clustering.materialize(clustering.weighted_points(vectors(spark, sf_dir, spread), compact=compact))
+    centers = clustering.collect_centers(
+        clustering.initial_centers(points, P.POSTING_VOCAB, spread, P.KERNELS, P.SEED))
+    result = clustering.kmeans(points, centers, P.ETA, P.MAX_ITERATIONS, checkpoint=False)
     return points, result
 
 
