@@ -20,6 +20,8 @@ def check_vocab(vocab: Sequence[str]) -> list[str]:
         raise ValueError("vocabulary must not be empty")
     if len(terms) > MAX_VOCAB:
         raise ValueError(f"vocabulary of {len(terms)} terms exceeds the bound {MAX_VOCAB}")
+    if any(not isinstance(t, str) or t == "" for t in terms):
+        raise ValueError("vocabulary terms must be non-empty strings")
     if len(set(terms)) != len(terms):
         dupes = sorted({t for t in terms if terms.count(t) > 1})
         raise ValueError(f"duplicate vocabulary terms: {dupes}")

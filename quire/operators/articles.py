@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.operators.common import sort_bounded
 from quire.functions.text import check_vocab, mentions, term_index, tokens, vocab_array
 from quire.session import ensure_checkpoint_dir
 
@@ -39,10 +40,10 @@ def _present_terms(text: Column | str, vocab: Sequence[str]) -> Column:
 
 
 def _ordered(counts: DataFrame, vocab: Sequence[str]) -> DataFrame:
-    """(term, n) ordered by n desc, ties in vocabulary order."""
-    return (counts.withColumn("idx", term_index("term", vocab))
-            .orderBy(F.desc("n"), F.asc("idx"))
-            .select("term", "n"))
+    """(term, n) ordered by n desc, ties in vocabulary order (at most
+    |vocab| rows, sorted in one partition)."""
+    return sort_bounded(counts.withColumn("idx", term_index("term", vocab)),
+                        F.desc("n"), F.asc("idx")).select("term", "n")
 
 
 def _zero_filled_counts(keyed: DataFrame, vocab: Sequence[str]) -> DataFrame:

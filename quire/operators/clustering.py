@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quire.functions.geometry import MAX_CENTERS, int_div, nearest_center
 from quire.functions.hashing import md5_rank_key
 from quire.functions.text import check_vocab, vocab_array
+from quire.operators.common import sort_bounded
 from quire.session import ensure_checkpoint_dir
 
 DEFAULT_KERNELS = 45
@@ -171,6 +172,14 @@ class KMeansResult:
         return spark.createDataFrame(sorted(per_round.items()), "iteration int, moved double")
 
 
+def _print_round(it: int, total: float, eta: float, old: Centers, new: Centers) -> None:
+    """Debug trace of one round: totals, then old ==> new per centre."""
+    print(f"Iteration: {it}\n  * current distance: {total}\n  * desired distance: {eta}\n  * means:")
+    for (_, x, y), (_, nx, ny) in zip(old, new):
+        moved = float((nx - x) ** 2 + (ny - y) ** 2)
+        print(f"   {str((x, y)):>20} ==> {str((nx, ny)):>20}    distance: {moved:8.0f}")
+
+
 def kmeans(points: DataFrame, centers: Centers, eta: float = DEFAULT_ETA,
            max_iterations: int = DEFAULT_MAX_ITERATIONS, checkpoint: bool = True,
            debug: bool = False) -> KMeansResult:
@@ -199,7 +208,7 @@ def kmeans(points: DataFrame, centers: Centers, eta: float = DEFAULT_ETA,
         trace += [(it, cid, x, y, nx, ny, float((nx - x) ** 2 + (ny - y) ** 2))
                   for (cid, x, y), (_, nx, ny) in zip(current, updated)]
         if debug:
-            print(f"Iteration: {it}\n  * current distance: {total}\n  * desired distance: {eta}")
+            _print_round(it, total, eta, current, updated)
         current = updated
         if total < eta:
             break
@@ -230,13 +239,13 @@ def cluster_results(points: DataFrame, centers: Centers, vocab: Sequence[str],
         F.sum("n").alias("size"))
     medians = assigned.groupBy("center_id").agg(F.percentile("y", 0.5, F.col("w")).alias("med"))
     label = F.element_at(vocab_array(vocab), int_div(-F.col("top.neg_x"), F.lit(spread)).cast("int") + 1)
-    return (labels.join(medians, "center_id")
-            .select("center_id",
-                    label.alias("label"),
-                    (F.lit(100.0) * F.col("top.n") / F.col("size")).alias("percent"),
-                    F.col("size").cast("bigint").alias("size"),
-                    F.floor("med").cast("bigint").alias("median"))
-            .orderBy("median", "center_id"))
+    summary = labels.join(medians, "center_id").select(
+        "center_id",
+        label.alias("label"),
+        (F.lit(100.0) * F.col("top.n") / F.col("size")).alias("percent"),
+        F.col("size").cast("bigint").alias("size"),
+        F.floor("med").cast("bigint").alias("median"))
+    return sort_bounded(summary, "median", "center_id")  # at most k rows
 
 
 REPORT_FORMAT = "%7d  %-17s (%-5.1f%%)      %7d"

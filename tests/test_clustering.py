@@ -63,10 +63,14 @@ def test_kmeans_matches_brute_force(spark):
         assert res.moved < 20.0 or res.iterations == 120
 
 
-def test_kmeans_iteration_cap(spark):
+def test_kmeans_iteration_cap(spark, capsys):
     pts = K.weighted_points(vectors(spark, [(0, 0), (0, 1000)]))
-    res = K.kmeans(pts, [(0, 0, 0)], eta=0.0, max_iterations=3, checkpoint=False)
+    res = K.kmeans(pts, [(0, 0, 0)], eta=0.0, max_iterations=3, checkpoint=False, debug=True)
     assert res.iterations == 3 and len(res.trace) == 3
+    out = capsys.readouterr().out
+    assert "Iteration: 1" in out and "Iteration: 3" in out and "Reached max iterations!" in out
+    assert "(0, 0) ==>             (0, 500)    distance:   250000" in out
+    assert [r[0] for r in rows(res.totals_frame(spark))] == [1, 2, 3]
 
 
 def test_sample_per_tag(spark):

@@ -67,3 +67,35 @@ def test_vector_count_check(spark):
     assert rows(Po.vector_count(vec, expected=2)) == [(2,)]
     with pytest.raises(Exception, match="Incorrect number of vectors"):
         Po.vector_count(vec, expected=3).collect()
+
+
+def test_hot_question_is_split_not_dropped(spark):
+    """One question holds a third of all answers. With broadcast off and low
+    skew thresholds, AQE marks the sort-merge join skewed and splits the hot
+    partition; every pair still comes out, and scoring stays exact."""
+    hot = [(2, 1000 + i, None, 1, i % 50, None) for i in range(3000)]
+    cold = [(2, 100000 + i, None, 2 + i % 600, 1, None) for i in range(6000)]
+    qs = [(1, q, None, None, 0, "Scala") for q in range(1, 602)]
+    df = postings(spark, qs + hot + cold).repartition(16)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        g = Po.grouped_postings(df)
+        got = g.collect()
+        assert len(got) == 9000 and sum(1 for r in got if r.qid == 1) == 3000
+        plan = g._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+        scored = dict(rows(Po.scored_postings(df), "id", "high_score"))
+        assert scored[1] == 49 and len(scored) == 601
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
