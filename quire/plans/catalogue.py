@@ -125,31 +125,29 @@ def sample_vectors_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.sample_vectors_global(vectors(spark, sf_dir), P.KERNELS, P.SEED)
 
 
-def _initial(spark: SparkSession, sf_dir: str, spread: int) -> list[tuple[int, int, int]]:
-    vec = vectors(spark, sf_dir, spread)
-    return clustering.collect_centers(
-        clustering.initial_centers(vec, P.POSTING_VOCAB, spread, P.KERNELS, P.SEED))
+def _points_and_centers(spark: SparkSession, sf_dir: str, spread: int = P.SPREAD, compact: bool = True):
+    """Weighted points, materialised once, and the initial centres sampled
+    from them; the base tables are scanned once."""
+    points = clustering.materialize(clustering.weighted_points(vectors(spark, sf_dir, spread), compact=compact))
+    centers = clustering.collect_centers(
+        clustering.initial_centers(points, P.POSTING_VOCAB, spread, P.KERNELS, P.SEED))
+    return points, centers
 
 
 def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = clustering.weighted_points(vectors(spark, sf_dir))
-    return clustering.kmeans_assign(points, _initial(spark, sf_dir, P.SPREAD))
+    return clustering.kmeans_assign(*_points_and_centers(spark, sf_dir))
 
 
 def kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = clustering.weighted_points(vectors(spark, sf_dir))
-    return clustering.kmeans_step(points, _initial(spark, sf_dir, P.SPREAD))
+    return clustering.kmeans_step(*_points_and_centers(spark, sf_dir))
 
 
 def run_kmeans(spark: SparkSession, sf_dir: str, spread: int = P.SPREAD, compact: bool = True):
     """Weighted points and the finished k-means run for `spread`.
 
     The points are materialised once; the initial sample, every round and
-    the later cluster summary all read that checkpoint, so the base tables
-    are scanned once."""
-    points = clustering.materialize(clustering.weighted_points(vectors(spark, sf_dir, spread), compact=compact))
-    centers = clustering.collect_centers(
-        clustering.initial_centers(points, P.POSTING_VOCAB, spread, P.KERNELS, P.SEED))
+    the later cluster summary all read that checkpoint."""
+    points, centers = _points_and_centers(spark, sf_dir, spread, compact)
     result = clustering.kmeans(points, centers, P.ETA, P.MAX_ITERATIONS, checkpoint=False)
     return points, result
 
