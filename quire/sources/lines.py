@@ -54,9 +54,11 @@ def read_articles(spark: SparkSession, path: str, **kw) -> DataFrame:
     return parse_articles(read_lines(spark, path), **kw)
 
 
-def _opt_int(field: Column, dtype: str, strict: bool) -> Column:
-    v = F.nullif(field, F.lit(""))
-    return v.cast(dtype) if strict else v.try_cast(dtype)
+# (name, type, optional) of the first five comma-separated fields; the
+# sixth (tag) is free text.
+POSTING_FIELDS = [("posting_type", "int", False), ("id", "bigint", False),
+                  ("accepted_answer", "bigint", True), ("parent_id", "bigint", True),
+                  ("score", "int", False)]
 
 
 def parse_postings(lines: DataFrame, line_col: str = "value", mode: str = "strict"):
@@ -70,27 +72,24 @@ def parse_postings(lines: DataFrame, line_col: str = "value", mode: str = "stric
     """
     if mode not in ("strict", "permissive"):
         raise ValueError("mode must be 'strict' or 'permissive'")
-    strict = mode == "strict"
     arr = F.split(F.col(line_col), ",")
-    f = (lambda i: arr[i]) if strict else (lambda i: F.get(arr, i))
-    cast = (lambda c, t: c.cast(t)) if strict else (lambda c, t: c.try_cast(t))
-    parsed = lines.select(
-        cast(f(0), "int").alias("posting_type"),
-        cast(f(1), "bigint").alias("id"),
-        _opt_int(f(2), "bigint", strict).alias("accepted_answer"),
-        _opt_int(f(3), "bigint", strict).alias("parent_id"),
-        cast(f(4), "int").alias("score"),
-        F.nullif(F.get(arr, 5), F.lit("")).alias("tag"),
-        *([] if strict else [F.col(line_col).alias("_line"),
-                             F.get(arr, 2).alias("_f2"), F.get(arr, 3).alias("_f3")]))
-    if strict:
-        return parsed
-    bad = (F.col("posting_type").isNull() | F.col("id").isNull() | F.col("score").isNull()
-           | (F.col("accepted_answer").isNull() & F.coalesce(F.col("_f2"), F.lit("")).__ne__(""))
-           | (F.col("parent_id").isNull() & F.coalesce(F.col("_f3"), F.lit("")).__ne__(""))
-           | F.col("_f2").isNull() | F.col("_f3").isNull())
-    good = parsed.where(~bad).drop("_line", "_f2", "_f3")
-    rejects = parsed.where(bad).select(F.col("_line").alias(line_col))
+    tag = F.nullif(F.get(arr, 5), F.lit("")).alias("tag")
+    if mode == "strict":
+        return lines.select(
+            *[(F.nullif(arr[i], F.lit("")) if optional else arr[i]).cast(dtype).alias(name)
+              for i, (name, dtype, optional) in enumerate(POSTING_FIELDS)], tag)
+    raw = lines.select(F.col(line_col).alias("_line"),
+                       *[F.get(arr, i).alias(f"_raw{i}") for i in range(len(POSTING_FIELDS))], tag)
+    typed, ok = [], F.lit(True)
+    for i, (name, dtype, optional) in enumerate(POSTING_FIELDS):
+        text = F.col(f"_raw{i}")
+        value = F.nullif(text, F.lit("")).try_cast(dtype)
+        valid = text.isNotNull() & ((text == "") | value.isNotNull()) if optional else value.isNotNull()
+        typed.append(value.alias(name))
+        ok = ok & valid
+    checked = raw.select(*typed, "tag", "_line", ok.alias("_ok"))
+    good = checked.where(F.col("_ok")).drop("_line", "_ok")
+    rejects = checked.where(~F.col("_ok")).select(F.col("_line").alias(line_col))
     return good, rejects
 
 
