@@ -8,12 +8,22 @@ the tables.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Relations already resolved in a session (file listing and footer read
+# happen once per table, as with a table registered at session start).
+_RELATIONS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _RELATIONS.setdefault(spark, {})
+    if path not in known:
+        known[path] = spark.read.parquet(path)
+    return known[path]
 
 
 # --- articles -------------------------------------------------------------
@@ -94,9 +104,8 @@ def wide_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    bucket = F.col("l_partkey") % 20
     minutes = (lines.groupBy("l_orderkey")
-               .agg(*[F.sum(F.when(bucket == i, F.col("l_quantity") * 10).otherwise(F.lit(0.0))).alias(name)
+               .agg(*[F.expr(f"sum(CASE WHEN l_partkey % 20 = {i} THEN l_quantity * 10 ELSE 0.0 END)").alias(name)
                       for i, name in enumerate(WIDE_MINUTE_COLUMNS)]))
     joined = orders.join(minutes, orders.o_orderkey == minutes.l_orderkey, "inner")
     return joined.select(
