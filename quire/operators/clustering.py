@@ -36,11 +36,26 @@ def weighted_points(vectors: DataFrame, compact: bool = True) -> DataFrame:
     return vectors.select("x", "y", F.lit(1).cast("bigint").alias("w"))
 
 
-def materialize(df: DataFrame) -> DataFrame:
+# Weighted points per task in the k-means rounds: 2M rows of three longs is
+# about 48 MB. Fewer points than that sit in one partition, and a round is
+# then a single stage (the per-centre aggregate needs no exchange).
+POINTS_PER_TASK = 2_000_000
+
+
+def materialize(df: DataFrame, rows_per_task: int | None = POINTS_PER_TASK) -> DataFrame:
     """Reliable checkpoint into `spark.checkpoint.dir`: computed once now,
-    read back by every later use, lineage cut (survives executor loss)."""
+    read back by every later use, lineage cut (survives executor loss).
+
+    With `rows_per_task`, the checkpoint is counted (a scan of the written
+    files) and read back in ceil(rows / rows_per_task) partitions, so a
+    small point set is not spread over many near-empty tasks while a large
+    one keeps its parallelism."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if rows_per_task:
+        n = out.count()
+        out = out.coalesce(max(1, -(-n // rows_per_task)))
+    return out
 
 
 def distinct_vectors(vectors: DataFrame) -> DataFrame:
