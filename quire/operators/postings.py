@@ -37,17 +37,26 @@ def grouped_postings(postings: DataFrame) -> DataFrame:
             .select(F.col("q_id").alias("qid"), *[c for c in q.columns], *[c for c in a.columns]))
 
 
-def scored_postings(postings: DataFrame) -> DataFrame:
+def scored_postings(postings: DataFrame, unique_ids: bool = True) -> DataFrame:
     """Every answered question with `high_score`: the best answer score,
     floored at 0.
 
     The answers are reduced to one row per parent first (max with map-side
-    combine), then joined 1:1 to the questions — the join never sees more
-    than one row per question, whatever the answer skew.
+    combine), then joined to the questions — the join never sees more than
+    one answer row per question, whatever the answer skew. Question ids are
+    taken as unique; with `unique_ids=False` a repeated id is first reduced
+    to its smallest row (fields in order), so each id is scored once. That
+    reduction is partial before the shuffle (copies collapse map-side) and
+    shares the join's partitioning, at the price of a sort-based aggregate.
     """
     best = (answers(postings).where(F.col("parent_id").isNotNull())
             .groupBy(F.col("parent_id").alias("qid")).agg(F.max("score").alias("max_score")))
-    return (questions(postings).join(best, F.col("id") == F.col("qid"), "inner")
+    q = questions(postings)
+    if not unique_ids:
+        rest = [c for c in postings.columns if c != "id"]
+        q = (q.groupBy("id").agg(F.min(F.struct(*rest)).alias("q"))
+             .select("id", *[F.col(f"q.{c}").alias(c) for c in rest]))
+    return (q.join(best, F.col("id") == F.col("qid"), "inner")
             .select(*postings.columns, F.greatest(F.lit(0), F.col("max_score")).alias("high_score")))
 
 

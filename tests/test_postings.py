@@ -40,6 +40,16 @@ def test_scored_postings_floor_and_drops(spark):
     assert got == [(10, "Scala", 9), (20, "Java", 0), (30, "Cobol", 4), (40, None, 1)]
 
 
+def test_duplicate_question_id_scored_once(spark):
+    df = postings(spark, [(1, 5, None, None, 0, "Scala"), (1, 5, 9, None, 0, "Java"),
+                          (2, 6, None, 5, 3, None), (2, 7, None, 5, 8, None)])
+    assert sorted(rows(Po.scored_postings(df), "id", "tag")) == [(5, "Java"), (5, "Scala")]
+    once = Po.scored_postings(df, unique_ids=False)
+    assert rows(once, "id", "tag", "accepted_answer", "high_score") == [(5, "Scala", None, 8)]
+    # the pairs themselves cross-multiply, as the grouping of pairs does
+    assert Po.grouped_postings(df).count() == 4
+
+
 def test_scored_matches_grouped(spark):
     df = postings(spark, DATA)
     g = Po.grouped_postings(df).groupBy("qid").agg({"a_score": "max"}).collect()
