@@ -263,6 +263,7 @@ def cluster_results(points: DataFrame, centers: Centers, vocab: Sequence[str],
     return sort_bounded(summary, "median", "center_id")  # at most k rows
 
 
+# The report line format and header of the cluster report.
 REPORT_FORMAT = "%7d  %-17s (%-5.1f%%)      %7d"
 REPORT_HEADER = ["Resulting clusters:",
                  "  Score  Dominant language (%percent)  Questions",
