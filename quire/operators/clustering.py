@@ -66,6 +66,12 @@ def _fail(msg: str):
     return F.raise_error(F.lit(msg))
 
 
+def _check_kernels(kernels: int) -> None:
+    # the sample is numbered in one partition and collected: keep k bounded
+    if not 0 < kernels <= MAX_CENTERS:
+        raise ValueError(f"kernels must be between 1 and {MAX_CENTERS}")
+
+
 def sample_vectors(vectors: DataFrame, n_terms: int, kernels: int = DEFAULT_KERNELS,
                    seed: int = DEFAULT_SEED) -> DataFrame:
     """(center_id, x, y): `kernels / n_terms` distinct vectors per x (tag).
@@ -77,6 +83,7 @@ def sample_vectors(vectors: DataFrame, n_terms: int, kernels: int = DEFAULT_KERN
     distinct vectors or the total is not `kernels`. `center_id` orders the
     centres by (x, rank).
     """
+    _check_kernels(kernels)
     if n_terms <= 0 or kernels % n_terms != 0:
         raise ValueError("kernels must be a multiple of the number of terms")
     per = kernels // n_terms
@@ -99,6 +106,7 @@ def sample_vectors_global(vectors: DataFrame, kernels: int = DEFAULT_KERNELS,
                           seed: int = DEFAULT_SEED) -> DataFrame:
     """(x, y): `kernels` distinct vectors with the smallest seeded md5 key
     over the whole space (top-k: a per-task partial limit, no full sort)."""
+    _check_kernels(kernels)
     return (distinct_vectors(vectors)
             .orderBy(md5_rank_key("x", "y", seed=seed), "x", "y")
             .limit(kernels))
