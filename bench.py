@@ -19,7 +19,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from quire.operators import articles, clustering  # noqa: E402
+from quire.operators import articles  # noqa: E402
 from quire.plans import catalogue  # noqa: E402
 from quire.plans import params as P  # noqa: E402
 from quire.session import local_session  # noqa: E402
