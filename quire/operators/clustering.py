@@ -173,6 +173,11 @@ def movement(a: Sequence[tuple[int, int]], b: Sequence[tuple[int, int]]) -> floa
     return float(sum((p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2 for p, q in zip(a, b)))
 
 
+def converged(distance: float, eta: float = DEFAULT_ETA) -> bool:
+    """The stop test: total movement strictly below `eta`."""
+    return distance < eta
+
+
 @dataclass
 class KMeansResult:
     centers: Centers
@@ -233,7 +238,7 @@ def kmeans(points: DataFrame, centers: Centers, eta: float = DEFAULT_ETA,
         if debug:
             _print_round(it, total, eta, current, updated)
         current = updated
-        if total < eta:
+        if converged(total, eta):
             break
         if it >= max_iterations:
             if debug:

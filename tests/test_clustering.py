@@ -63,6 +63,13 @@ def test_kmeans_matches_brute_force(spark):
         assert res.moved < 20.0 or res.iterations == 120
 
 
+def test_converged_is_strict():
+    assert K.converged(19.9, 20.0) and not K.converged(20.0, 20.0)
+    assert K.movement([(0, 0), (3, 4)], [(1, 0), (0, 0)]) == 26.0
+    with pytest.raises(ValueError):
+        K.movement([(0, 0)], [])
+
+
 def test_kmeans_iteration_cap(spark, capsys):
     pts = K.weighted_points(vectors(spark, [(0, 0), (0, 1000)]))
     res = K.kmeans(pts, [(0, 0, 0)], eta=0.0, max_iterations=3, checkpoint=False, debug=True)
