@@ -27,7 +27,7 @@ def grouped_postings(postings: DataFrame) -> DataFrame:
     (question, answer) with `qid` and both postings' fields prefixed q_/a_.
 
     Inner equi-join on q.id = a.parent_id: unanswered questions and answers
-    without a parent drop out. The grouping of the reference is the `qid`
+    without a parent drop out. The grouping of the original is the `qid`
     column; no per-question list is built, so a question with a huge number
     of answers is many rows (and AQE's skew-join splits its partition).
     """

@@ -1,5 +1,5 @@
 """Readers and parsers (article lines, posting lines, wide CSV) and the
-views over the shared Parquet tables that stand in for the reference's
+views over the shared Parquet tables that stand in for the original programs'
 external input files."""
 
 from quire.sources.tables import (table, articles_view, article_lines_view, postings_view,

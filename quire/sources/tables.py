@@ -1,6 +1,6 @@
 """The shared Parquet tables and the input views built from them.
 
-The reference reads three external files (article lines, posting lines, a
+The original programs read three external files (article lines, posting lines, a
 wide survey CSV) that are not shipped. These views derive inputs of the same
 shape from the shared tables, inside Spark, so every query's work grows with
 the tables.
