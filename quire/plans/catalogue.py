@@ -86,6 +86,11 @@ def top_term(spark: SparkSession, sf_dir: str) -> DataFrame:
     return articles.top_term(rank_terms(spark, sf_dir))
 
 
+def rank_terms_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markup lines parsed into articles, then ranked."""
+    return articles.rank_terms(parse_articles(spark, sf_dir), P.ARTICLE_VOCAB)
+
+
 # --- postings -------------------------------------------------------------
 
 def parse_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +107,11 @@ def scored_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.scored_postings(tables.postings_view(spark, sf_dir)).select("id", "tag", "high_score")
 
 
+def scored_postings_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posting lines parsed, then scored."""
+    return postings.scored_postings(parse_postings(spark, sf_dir)).select("id", "tag", "high_score")
+
+
 def vectors(spark: SparkSession, sf_dir: str, spread: int = P.SPREAD) -> DataFrame:
     scored = postings.scored_postings(tables.postings_view(spark, sf_dir))
     return postings.vector_postings(scored, P.POSTING_VOCAB, spread)
@@ -160,6 +170,20 @@ def kmeans_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_kmeans(spark, sf_dir)[1].totals_frame(spark)
 
 
+def kmeans_uncompacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same centres as `kmeans`, every vector with weight 1 (checks that
+    compaction is exact)."""
+    return run_kmeans(spark, sf_dir, compact=False)[1].centers_frame(spark)
+
+
+def kmeans_trace_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_kmeans(spark, sf_dir)[1].trace_frame(spark)
+
+
+def kmeans_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_kmeans(spark, sf_dir, P.MIXED_SPREAD)[1].centers_frame(spark)
+
+
 def _cluster_results(spark: SparkSession, sf_dir: str, spread: int) -> DataFrame:
     points, result = run_kmeans(spark, sf_dir, spread)
     return clustering.cluster_results(points, result.centers, P.POSTING_VOCAB, spread)
@@ -187,9 +211,11 @@ QUERIES: dict[str, Plan] = {
     "inverted_index_arrays": inverted_index_arrays,
     "rank_terms_using_index": rank_terms_using_index,
     "top_term": top_term,
+    "rank_terms_from_lines": rank_terms_from_lines,
     "parse_postings": parse_postings,
     "grouped_postings": grouped_postings,
     "scored_postings": scored_postings,
+    "scored_postings_from_lines": scored_postings_from_lines,
     "vector_postings": vectors,
     "vector_count": vector_count,
     "distinct_vectors": distinct_vectors,
@@ -199,6 +225,9 @@ QUERIES: dict[str, Plan] = {
     "kmeans_step": kmeans_step,
     "kmeans": kmeans,
     "kmeans_trace": kmeans_trace,
+    "kmeans_uncompacted": kmeans_uncompacted,
+    "kmeans_trace_centers": kmeans_trace_centers,
+    "kmeans_mixed": kmeans_mixed,
     "cluster_results": cluster_results,
     "cluster_report": cluster_report,
     "cluster_results_mixed": cluster_results_mixed,

@@ -288,6 +288,34 @@ FROM v_centers c LEFT JOIN n ON c.center_id = n.center_id""",
         + "SELECT center_id, label, percent, size, median FROM res",
 }
 
+_PARSED_ARTICLES = f"""v_articles AS (
+  SELECT substr(line, 15, {_DELIM} - 15) AS title,
+         substr(line, {_DELIM} + 14, length(line) - 16 - ({_DELIM} + 14) + 1) AS text
+  FROM v_article_lines)"""
+
+_PARSED_POSTINGS = """v_postings AS (
+  SELECT CAST(s[1] AS INT) AS posting_type, CAST(s[2] AS BIGINT) AS id,
+         CAST(nullif(s[3], '') AS BIGINT) AS accepted_answer, CAST(nullif(s[4], '') AS BIGINT) AS parent_id,
+         CAST(s[5] AS INT) AS score, nullif(s[6], '') AS tag
+  FROM (SELECT string_split(line, ',') AS s FROM v_posting_lines) t)"""
+
+ARTICLE_SQL["rank_terms_from_lines"] = with_(V_ARTICLE_LINES, _PARSED_ARTICLES, vocab_cte(ARTICLE_VOCAB)) + f"""SELECT v.term, count(a.title) AS n
+FROM vocab v LEFT JOIN v_articles a ON {_mentions('v.term')}
+GROUP BY v.term"""
+
+POSTING_SQL["scored_postings_from_lines"] = (
+    with_(V_POSTINGS.replace("v_postings AS", "v_raw AS"),
+          V_POSTING_LINES.replace("FROM v_postings", "FROM v_raw"), _PARSED_POSTINGS, V_SCORED)
+    + "SELECT id, tag, high_score FROM v_scored")
+
+_KM_MIXED = with_(V_POSTINGS, V_SCORED, v_vectors(MIXED_SPREAD), _GLOBAL_CENTERS, kmeans_cte(ETA, MAX_ITERATIONS),
+                  recursive=True)
+CLUSTER_SQL["kmeans_uncompacted"] = CLUSTER_SQL["kmeans"]
+CLUSTER_SQL["kmeans_mixed"] = _KM_MIXED + "SELECT center_id, x, y FROM final"
+CLUSTER_SQL["kmeans_trace_centers"] = _KM + """SELECT b.it AS iteration, b.i AS center_id, a.x, a.y,
+       b.x AS new_x, b.y AS new_y, CAST((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y) AS DOUBLE) AS moved
+FROM km a JOIN km b ON a.i = b.i AND b.it = a.it + 1"""
+
 SQL.update(ARTICLE_SQL)
 SQL.update(POSTING_SQL)
 SQL.update(CLUSTER_SQL)

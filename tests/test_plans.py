@@ -21,7 +21,7 @@ LAZY = ["parse_articles", "mentions_filter", "occurrences_of_term", "rank_terms"
         "scored_postings", "vector_postings", "vector_count", "distinct_vectors", "sample_vectors",
         "sample_vectors_global", "classify_columns", "typed_rows", "time_usage_summary",
         "time_usage_typed", "time_usage_grouped", "time_usage_grouped_sql", "time_usage_grouped_typed",
-        "inverted_index_arrays"]
+        "inverted_index_arrays", "rank_terms_from_lines", "scored_postings_from_lines"]
 
 
 @pytest.mark.parametrize("name", LAZY)
