@@ -30,24 +30,31 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_articles(lines: DataFrame, line_col: str = "value", prefix_len: int = 14,
-                   suffix_len: int = 16, strict: bool = True) -> DataFrame:
+                   suffix_len: int = 16, mode: str = "strict"):
     """(title, text) from markup lines.
 
     The title runs from character `prefix_len` (0-based) to the *first*
     `</title><text>`; the text from after that delimiter to `suffix_len`
-    characters before the end. A line without the delimiter raises in strict
-    mode and is dropped otherwise.
+    characters before the end. A line is malformed when the delimiter is
+    missing, starts inside the prefix, or leaves less than the suffix
+    behind. `mode="strict"` fails the job on such a line;
+    `mode="permissive"` returns a pair `(articles, rejects)`.
     """
+    if mode not in ("strict", "permissive"):
+        raise ValueError("mode must be 'strict' or 'permissive'")
     line = F.col(line_col)
     pos = F.instr(line, TITLE_DELIMITER)  # 1-based, 0 when absent
-    title = line.substr(F.lit(prefix_len + 1), pos - F.lit(1 + prefix_len))
     text_start = pos + F.lit(len(TITLE_DELIMITER))
+    ok = (pos > prefix_len) & (F.length(line) - F.lit(suffix_len) >= text_start - 1)
+    title = line.substr(F.lit(prefix_len + 1), pos - F.lit(1 + prefix_len))
     text = line.substr(text_start, F.length(line) - F.lit(suffix_len) - text_start + 1)
-    if strict:
-        title = F.when(pos > 0, title).otherwise(
-            F.raise_error(F.concat(F.lit("article line without delimiter: "), line.substr(1, 80))))
+    if mode == "strict":
+        title = F.when(ok, title).otherwise(
+            F.raise_error(F.concat(F.lit("malformed article line: "), line.substr(1, 80))))
         return lines.select(title.alias("title"), text.alias("text"))
-    return lines.where(pos > 0).select(title.alias("title"), text.alias("text"))
+    checked = lines.select(title.alias("title"), text.alias("text"), line.alias("_line"), ok.alias("_ok"))
+    return (checked.where("_ok").select("title", "text"),
+            checked.where(~F.col("_ok")).select(F.col("_line").alias(line_col)))
 
 
 def read_articles(spark: SparkSession, path: str, **kw) -> DataFrame:

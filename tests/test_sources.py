@@ -28,11 +28,17 @@ def test_parse_article_custom_offsets(spark):
     assert got == [("T", "body")]
 
 
-def test_parse_article_without_delimiter(spark):
-    bad = lines_df(spark, ["X<page><title>no delimiter</page>YY"])
-    with pytest.raises(Exception, match="without delimiter"):
-        L.parse_articles(bad).collect()
-    assert L.parse_articles(bad, strict=False).count() == 0
+def test_parse_article_malformed(spark):
+    good = "X<page><title>T</title><text>body</text></page>YY"
+    bad = ["X<page><title>no delimiter</page>YY",       # no delimiter
+           "X</title><text>title too early</text></page>YY",  # delimiter inside the prefix
+           "X<page><title>T</title><text>short"]          # less than the suffix left
+    for line in bad:
+        with pytest.raises(Exception, match="malformed article line"):
+            L.parse_articles(lines_df(spark, [line])).collect()
+    articles, rejects = L.parse_articles(lines_df(spark, [good] + bad), mode="permissive")
+    assert rows(articles) == [("T", "body")]
+    assert sorted(r[0] for r in rows(rejects)) == sorted(bad)
 
 
 def test_read_articles_from_file(spark, tmp_path):
