@@ -41,8 +41,19 @@ def mentions(text: Column | str, term: str) -> Column:
     return F.array_contains(tokens(text), F.lit(term))
 
 
+def sql_string(value: str) -> str:
+    """`value` as a Spark SQL string literal (backslash escapes, the parser
+    default)."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def vocab_array_sql(vocab: Sequence[str]) -> str:
+    return "array(" + ", ".join(sql_string(t) for t in vocab) + ")"
+
+
 def vocab_array(vocab: Sequence[str]) -> Column:
-    return F.array(*[F.lit(t) for t in vocab])
+    """The vocabulary as an array literal (one expression, however many terms)."""
+    return F.expr(vocab_array_sql(vocab))
 
 
 def term_index(value: Column | str, vocab: Sequence[str]) -> Column:

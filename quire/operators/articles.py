@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.common import sort_bounded
-from quire.functions.text import check_vocab, mentions, term_index, tokens, vocab_array
+from quire.functions.text import check_vocab, mentions, sql_string, term_index, tokens, vocab_array
 from quire.session import ensure_checkpoint_dir
 
 # Fine hash buckets per term in the first stage of `inverted_index_blocks`
@@ -65,11 +65,11 @@ def rank_terms(articles: DataFrame, vocab: Sequence[str]) -> DataFrame:
     """
     vocab = check_vocab(vocab)
     present = articles.select(_present_terms("text", vocab).alias("present"))
-    counts = present.agg(*[F.count_if(F.array_contains("present", F.lit(t))).alias(f"c{i}")
+    # one SQL expression per term: planning stays cheap for a long vocabulary
+    counts = present.agg(*[F.expr(f"count_if(array_contains(present, {sql_string(t)})) AS c{i}")
                            for i, t in enumerate(vocab)])
-    rows = F.array(*[F.struct(F.lit(t).alias("term"), F.col(f"c{i}").alias("n"))
-                     for i, t in enumerate(vocab)])
-    return _ordered(counts.select(F.inline(rows)), vocab)
+    pairs = ", ".join(f"{sql_string(t)}, c{i}" for i, t in enumerate(vocab))
+    return _ordered(counts.selectExpr(f"stack({len(vocab)}, {pairs}) AS (term, n)"), vocab)
 
 
 def rank_terms_agg(articles: DataFrame, vocab: Sequence[str]) -> DataFrame:

@@ -103,3 +103,9 @@ def test_typed_rows(spark):
     assert rows(out) == [("id1", 1.0, 2.5), ("id2", 3.0, 4.0)]
     with pytest.raises(Exception):
         C.typed_rows(spark.createDataFrame([("id", "x")], "a string, b string")).collect()
+
+
+def test_sql_string_round_trip(spark):
+    from quire.functions.text import vocab_array
+    terms = ["O'Reilly", "a\\b", "C++", '"q"', "f\u00fcr", "tab\there", "back\\'quote", "x\\n", "new\nline"]
+    assert spark.range(1).select(vocab_array(terms).alias("a")).first()[0] == terms
