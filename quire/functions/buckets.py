@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def sql_name(name: str) -> str:
+    """A column name as a quoted SQL identifier (dots and backticks allowed)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
     """Column by exact name, also when the name holds a dot."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(sql_name(name))
 
 
 def working_status(telfs: Column | str = "telfs") -> Column:
@@ -38,6 +41,7 @@ def age_bucket(teage: Column | str = "teage") -> Column:
 def hours_sum(columns: Sequence[str], integral: bool = False) -> Column:
     """(0 + c1 + c2 + ...) / 60 as a double: a null term makes the row null,
     an empty list gives 0.0. Integral inputs start from a bigint zero so the
-    running sum is 64-bit."""
-    zero = F.lit(0).cast("bigint") if integral else F.lit(0)
-    return reduce(add, [quoted(c) for c in columns], zero) / F.lit(60)
+    running sum is 64-bit. One SQL expression however wide the group (real
+    survey files have hundreds of minute columns)."""
+    zero = "CAST(0 AS BIGINT)" if integral else "0"
+    return F.expr("(" + " + ".join([zero] + [sql_name(c) for c in columns]) + ") / 60")
