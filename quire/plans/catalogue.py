@@ -23,7 +23,7 @@ def classify_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = tables.wide_view(spark, sf_dir)
-    raw = wide.select(*[wide[c].cast("string").alias(c) for c in wide.columns])  # fields as text
+    raw = wide.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in wide.columns])  # fields as text
     return csv_source.typed_rows(raw)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from quire.functions.buckets import quoted
+from quire.functions.buckets import sql_name
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> tuple[list[str], DataFrame]:
@@ -32,5 +32,5 @@ def typed_rows(df: DataFrame) -> DataFrame:
     """Cast raw fields to the row schema: the first field stays a string, all
     others become doubles (ANSI mode: a non-numeric field fails the job)."""
     cols = df.columns
-    return df.select(quoted(cols[0]).cast("string").alias(cols[0]),
-                     *[quoted(c).cast("double").alias(c) for c in cols[1:]])
+    return df.selectExpr(*[f"CAST({sql_name(c)} AS {'STRING' if i == 0 else 'DOUBLE'}) AS {sql_name(c)}"
+                           for i, c in enumerate(cols)])
