@@ -252,22 +252,25 @@ def cluster_results(points: DataFrame, centers: Centers, vocab: Sequence[str],
     """(center_id, label, percent, size, median) per non-empty cluster,
     ordered by median then centre.
 
-    label: the most common tag of the cluster (ties: first in vocabulary);
-    percent: its share of the cluster in percent; size: number of vectors;
-    median: middle score, the integer mean of the two middles for even
-    sizes. Two aggregates over the assigned points, each with map-side
-    combine: counts per (centre, tag), and an exact weighted percentile
-    whose buffer holds one entry per distinct score, not per vector.
+    label: the most common tag of the cluster (ties: first in vocabulary;
+    null when no point carries a vocabulary tag); percent: its share of the
+    cluster in percent; size: number of vectors; median: middle score, the
+    integer mean of the two middles for even sizes.
+
+    One aggregate per centre, with map-side combine: the size, an exact
+    weighted percentile (its buffer holds one entry per distinct score, not
+    per vector), and one conditional count per tag (tag = x div spread; the
+    vocabulary is bounded, so this is a fixed number of columns).
     """
     vocab = check_vocab(vocab)
     assigned = assign(points.select("x", "y", "w"), centers)
-    per_tag = assigned.groupBy("center_id", "x").agg(F.sum("w").alias("n"))
-    labels = per_tag.groupBy("center_id").agg(
-        F.max(F.struct(F.col("n"), (-F.col("x")).alias("neg_x"))).alias("top"),
-        F.sum("n").alias("size"))
-    medians = assigned.groupBy("center_id").agg(F.percentile("y", 0.5, F.col("w")).alias("med"))
-    label = F.element_at(vocab_array(vocab), int_div(-F.col("top.neg_x"), F.lit(spread)).cast("int") + 1)
-    summary = labels.join(medians, "center_id").select(
+    per_tag = [F.expr(f"sum(IF(x div {int(spread)} = {i}, w, 0)) AS n{i}") for i in range(len(vocab))]
+    totals = assigned.groupBy("center_id").agg(
+        F.sum("w").alias("size"), F.percentile("y", 0.5, F.col("w")).alias("med"), *per_tag)
+    top = F.expr("greatest(" + ", ".join(f"named_struct('n', n{i}, 'neg_idx', {-i})"
+                                         for i in range(len(vocab))) + ")")
+    label = F.when(F.col("top.n") > 0, F.element_at(vocab_array(vocab), 1 - F.col("top.neg_idx")))
+    summary = totals.select("center_id", top.alias("top"), "size", "med").select(
         "center_id",
         label.alias("label"),
         (F.lit(100.0) * F.col("top.n") / F.col("size")).alias("percent"),

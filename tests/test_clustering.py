@@ -138,3 +138,9 @@ def test_results_order_and_report(spark):
     lines = [r[0] for r in rows(K.cluster_report(res))]
     assert lines == ["      2  B                 (100.0%)            2",
                      "    100  A                 (100.0%)            2"]
+
+
+def test_cluster_without_vocabulary_tag_has_null_label(spark):
+    pts = K.weighted_points(vectors(spark, [(500, 3), (500, 5), (0, 7)]))
+    got = sorted(rows(K.cluster_results(pts, [(0, 0, 7), (1, 500, 4)], VOCAB, 100)))
+    assert got == [(0, "A", 100.0, 1, 7), (1, None, 0.0, 2, 4)]
