@@ -46,3 +46,41 @@ def test_kmeans_matches_model(spark, pts, seeds):
     vec = spark.createDataFrame(pts, "x bigint, y bigint")
     res = K.kmeans(K.weighted_points(vec), centers, eta=5.0, max_iterations=6, checkpoint=False)
     assert ([c[1:] for c in res.centers], res.iterations, res.moved) == want
+
+
+# --- posting lines ----------------------------------------------------------
+
+def model_posting(line):
+    """Plain-Python reading of one posting line: the parsed tuple, or None
+    when the line is malformed."""
+    f = line.split(",")
+    if len(f) < 5:
+        return None
+
+    def num(s):
+        return int(s) if s.lstrip("-").isdigit() else None
+    t, i, s = num(f[0]), num(f[1]), num(f[4])
+    opt = [None if f[k] == "" else num(f[k]) for k in (2, 3)]
+    if None in (t, i, s) or any(f[k] != "" and opt[n] is None for n, k in enumerate((2, 3))):
+        return None
+    tag = f[5] if len(f) > 5 and f[5] != "" else None
+    return (t, i, opt[0], opt[1], s, tag)
+
+
+field = st.one_of(st.integers(-5, 99).map(str), st.just(""), st.sampled_from(["x", "Scala", "C#"]))
+line = st.lists(field, min_size=2, max_size=8).map(",".join)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(line, min_size=1, max_size=25))
+def test_posting_parse_matches_model(spark, lines):
+    from quire.sources.lines import parse_postings
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    good, rejects = parse_postings(df, mode="permissive")
+    want = [m for m in map(model_posting, lines) if m is not None]
+    assert sorted(map(tuple, good.collect()), key=repr) == sorted(want, key=repr)
+    assert sorted(r[0] for r in rejects.collect()) == sorted(x for x in lines if model_posting(x) is None)
+    clean = [x for x in lines if model_posting(x) is not None]
+    if clean:
+        strict = parse_postings(spark.createDataFrame([(x,) for x in clean], "value string"))
+        assert sorted(map(tuple, strict.collect()), key=repr) == sorted(want, key=repr)
