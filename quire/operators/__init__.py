@@ -1,2 +1,7 @@
 """Operators: each is a function DataFrame (+ parameters) -> lazy DataFrame.
-Only the k-means driver loop runs actions, and it collects the k centres."""
+
+Three places run jobs while a plan is built: the k-means loop (one small
+aggregate per round; the k centres come back to the driver), and the two
+reliable checkpoints (`clustering.materialize`, and the first stage of
+`articles.inverted_index_blocks`), which write to `spark.checkpoint.dir`.
+"""
