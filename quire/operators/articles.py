@@ -24,11 +24,13 @@ FINE_BITS = 20
 
 def mentions_filter(articles: DataFrame, term: str) -> DataFrame:
     """Articles whose text mentions `term`."""
+    (term,) = check_vocab([term])
     return articles.where(mentions("text", term))
 
 
 def occurrences_of_term(articles: DataFrame, term: str) -> DataFrame:
     """One row, `n`: the number of articles that mention `term`."""
+    (term,) = check_vocab([term])
     return articles.agg(F.count_if(mentions("text", term)).alias("n"))
 
 
