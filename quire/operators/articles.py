@@ -92,9 +92,12 @@ def inverted_index(articles: DataFrame, vocab: Sequence[str], with_text: bool =
 
 
 def rank_terms_using_index(index: DataFrame, vocab: Sequence[str]) -> DataFrame:
-    """Ranking from the long-form index: the size of each posting list."""
+    """Ranking from the long-form index: the size of each vocabulary term's
+    posting list (rows for other terms are not counted, so the result has
+    exactly |vocab| rows)."""
     vocab = check_vocab(vocab)
-    return _ordered(_zero_filled_counts(index.select("term"), vocab), vocab)
+    keyed = index.select("term").where(F.col("term").isin(vocab))
+    return _ordered(_zero_filled_counts(keyed, vocab), vocab)
 
 
 def inverted_index_blocks(index: DataFrame, vocab: Sequence[str], block_size: int = 10_000,
