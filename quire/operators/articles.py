@@ -123,6 +123,7 @@ def inverted_index_blocks(index: DataFrame, vocab: Sequence[str], block_size: in
     vocab = check_vocab(vocab)
     if block_size < 1:
         raise ValueError("block_size must be positive")
+    index = index.where(F.col("term").isin(vocab))  # keeps the broadcast totals within |vocab| rows
     h = F.conv(F.substring(F.md5(F.col("title").cast("string")), 1, 8), 16, 10).cast("bigint")
     fine = index.groupBy("term", F.shiftright(h, 32 - FINE_BITS).alias("fine")).agg(
         F.count(F.lit(1)).alias("n"), F.collect_set("title").alias("titles"))
