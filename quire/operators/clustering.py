@@ -90,8 +90,10 @@ def sample_vectors(vectors: DataFrame, n_terms: int, kernels: int = DEFAULT_KERN
     ranked = (distinct_vectors(vectors)
               .withColumn("r", F.row_number().over(
                   Window.partitionBy("x").orderBy(md5_rank_key("x", "y", seed=seed), "y")))
-              .where(F.col("r") <= per))
-    # At most `kernels` rows remain from here on.
+              .where(F.col("r") <= per)
+              # a valid sample has exactly `kernels` rows; one more is enough
+              # to fail the size check below without gathering more
+              .limit(kernels + 1))
     out = (ranked
            .withColumn("n_tag", F.count(F.lit(1)).over(Window.partitionBy("x")))
            .withColumn("n_all", F.count(F.lit(1)).over(Window.partitionBy()))

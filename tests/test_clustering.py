@@ -97,6 +97,9 @@ def test_sample_checks(spark):
     few = vectors(spark, [(0, 1), (0, 2), (100, 1)])
     with pytest.raises(Exception, match="sample needs"):
         K.sample_vectors(few, n_terms=2, kernels=4).collect()
+    too_many_tags = vectors(spark, [(x, y) for x in (0, 100, 200) for y in (1, 2)])
+    with pytest.raises(Exception, match="sample needs"):
+        K.sample_vectors(too_many_tags, n_terms=2, kernels=4).collect()
 
 
 def test_global_sample(spark):
