@@ -114,13 +114,16 @@ def sample_vectors_global(vectors: DataFrame, kernels: int = DEFAULT_KERNELS,
             .limit(kernels))
 
 
-def number_centers(sample: DataFrame, kernels: int | None = None) -> DataFrame:
-    """(center_id, x, y) with ids in (x, y) order; optional size check."""
-    out = sample.withColumn("cid", (F.row_number().over(Window.orderBy("x", "y")) - 1).cast("int"))
-    cid = F.col("cid")
-    if kernels is not None:
-        n_all = F.count(F.lit(1)).over(Window.partitionBy())
-        cid = F.when(n_all == kernels, cid).otherwise(_fail(f"sample must hold {kernels} vectors"))
+def number_centers(sample: DataFrame, kernels: int) -> DataFrame:
+    """(center_id, x, y) with ids in (x, y) order; the job fails unless the
+    sample holds exactly `kernels` rows (at most kernels + 1 are gathered
+    to tell)."""
+    _check_kernels(kernels)
+    bounded = sample.select("x", "y").limit(kernels + 1)
+    out = (bounded
+           .withColumn("cid", (F.row_number().over(Window.orderBy("x", "y")) - 1).cast("int"))
+           .withColumn("n_all", F.count(F.lit(1)).over(Window.partitionBy())))
+    cid = F.when(F.col("n_all") == kernels, F.col("cid")).otherwise(_fail(f"sample must hold {kernels} vectors"))
     return out.select(cid.alias("center_id"), "x", "y")
 
 
