@@ -13,8 +13,7 @@ def md5_rank_key(*parts: Column | str, seed: int = 42) -> Column:
     return F.md5(F.concat_ws(":", *[c.cast("string") for c in cols], F.lit(str(seed))))
 
 
-def md5_bucket(value: Column | str, buckets: Column) -> Column:
-    """First 32 bits of md5(value) modulo `buckets` (a bigint column)."""
+def md5_prefix32(value: Column | str) -> Column:
+    """The first 32 bits of md5(value) as a non-negative bigint."""
     c = F.col(value) if isinstance(value, str) else value
-    h = F.conv(F.substring(F.md5(c.cast("string")), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(h, buckets)
+    return F.conv(F.substring(F.md5(c.cast("string")), 1, 8), 16, 10).cast("bigint")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.common import sort_bounded
+from quire.functions.hashing import md5_prefix32
 from quire.functions.text import check_vocab, mentions, sql_string, term_index, tokens, vocab_array
 from quire.session import ensure_checkpoint_dir
 
@@ -124,8 +125,7 @@ def inverted_index_blocks(index: DataFrame, vocab: Sequence[str], block_size: in
     if block_size < 1:
         raise ValueError("block_size must be positive")
     index = index.where(F.col("term").isin(vocab))  # keeps the broadcast totals within |vocab| rows
-    h = F.conv(F.substring(F.md5(F.col("title").cast("string")), 1, 8), 16, 10).cast("bigint")
-    fine = index.groupBy("term", F.shiftright(h, 32 - FINE_BITS).alias("fine")).agg(
+    fine = index.groupBy("term", F.shiftright(md5_prefix32("title"), 32 - FINE_BITS).alias("fine")).agg(
         F.count(F.lit(1)).alias("n"), F.collect_set("title").alias("titles"))
     if materialize:
         ensure_checkpoint_dir(index.sparkSession)
