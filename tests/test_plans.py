@@ -67,3 +67,12 @@ def test_small_point_sets_round_without_exchange(spark):
     plan = executed(clustering._centroids(points, centers))
     assert "Exchange" not in plan
     assert "*(" in plan  # whole-stage codegen
+
+
+def test_kmeans_rounds_read_the_checkpoint_only(spark):
+    vec = catalogue.vectors(spark, SF)
+    points = clustering.materialize(clustering.weighted_points(vec))
+    centers = clustering.collect_centers(clustering.sample_vectors(points, len(P.POSTING_VOCAB), P.KERNELS))
+    for df in (clustering._centroids(points, centers),
+               clustering.cluster_results(points, centers, P.POSTING_VOCAB, P.SPREAD)):
+        assert "FileScan" not in executed(df)  # lineage cut: the base tables are not read again

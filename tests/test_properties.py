@@ -84,3 +84,34 @@ def test_posting_parse_matches_model(spark, lines):
     if clean:
         strict = parse_postings(spark.createDataFrame([(x,) for x in clean], "value string"))
         assert sorted(map(tuple, strict.collect()), key=repr) == sorted(want, key=repr)
+
+
+# --- survey summary -----------------------------------------------------------
+
+code = st.one_of(st.none(), st.integers(-2, 80))
+minutes = st.one_of(st.none(), st.integers(0, 900).map(float))
+respondent = st.tuples(code, code, code, minutes, minutes, minutes)
+
+
+def model_summary(r):
+    telfs, tesex, teage, p, w, o = r
+    if telfs is None or telfs > 4:
+        return None
+    working = "working" if 1 <= telfs < 3 else "not working"
+    sex = "male" if tesex == 1 else "female"
+    age = ("young" if teage is not None and 15 <= teage <= 22
+           else "active" if teage is not None and 23 <= teage <= 55 else "elder")
+    hours = [None if m is None else m / 60 for m in (p, w, o)]
+    return (working, sex, age, *hours)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(respondent, min_size=1, max_size=40))
+def test_summary_matches_model(spark, data):
+    from quire.operators import timeuse
+    df = spark.createDataFrame([(f"r{i}", *r) for i, r in enumerate(data)],
+                               "tucaseid string, telfs int, tesex int, teage int, "
+                               "t010101 double, t050101 double, t020101 double")
+    got = [tuple(r) for r in timeuse.time_usage_summary(df).collect()]
+    want = [m for m in map(model_summary, data) if m is not None]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
