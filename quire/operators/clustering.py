@@ -205,12 +205,18 @@ class KMeansResult:
         return spark.createDataFrame(sorted(per_round.items()), "iteration int, moved double")
 
 
+# The debug trace lines of a k-means round and of the cap.
+ROUND_HEADER = "Iteration: {it}\n  * current distance: {total}\n  * desired distance: {eta}\n  * means:"
+ROUND_CENTER = "   {old:>20} ==> {new:>20}    distance: {moved:8.0f}"
+CAP_MESSAGE = "Reached max iterations!"
+
+
 def _print_round(it: int, total: float, eta: float, old: Centers, new: Centers) -> None:
     """Debug trace of one round: totals, then old ==> new per centre."""
-    print(f"Iteration: {it}\n  * current distance: {total}\n  * desired distance: {eta}\n  * means:")
+    print(ROUND_HEADER.format(it=it, total=total, eta=eta))
     for (_, x, y), (_, nx, ny) in zip(old, new):
         moved = float((nx - x) ** 2 + (ny - y) ** 2)
-        print(f"   {str((x, y)):>20} ==> {str((nx, ny)):>20}    distance: {moved:8.0f}")
+        print(ROUND_CENTER.format(old=str((x, y)), new=str((nx, ny)), moved=moved))
 
 
 def kmeans(points: DataFrame, centers: Centers, eta: float = DEFAULT_ETA,
@@ -247,7 +253,7 @@ def kmeans(points: DataFrame, centers: Centers, eta: float = DEFAULT_ETA,
             break
         if it >= max_iterations:
             if debug:
-                print("Reached max iterations!")
+                print(CAP_MESSAGE)
             break
     return KMeansResult(current, it, total, trace)
 

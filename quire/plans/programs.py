@@ -22,6 +22,11 @@ LANGUAGES = ["JavaScript", "Java", "PHP", "Python", "C#", "C++", "Ruby", "CSS",
              "Objective-C", "Perl", "Scala", "Haskell", "MATLAB", "Clojure", "Groovy"]
 
 
+# The timing line and the three phase labels of the ranking program.
+TIMING_LINE = "Processing {label} took {ms} ms."
+PHASES = ["Part 1: naive ranking", "Part 2: ranking using inverted index", "Part 3: ranking using reduceByKey"]
+
+
 class Timings:
     """Phase timer: `timed(label, fn)` runs fn and records its wall time."""
 
@@ -31,7 +36,7 @@ class Timings:
     def timed(self, label: str, fn: Callable[[], T]) -> T:
         start = time.perf_counter()
         result = fn()
-        self.lines.append(f"Processing {label} took {int((time.perf_counter() - start) * 1000)} ms.")
+        self.lines.append(TIMING_LINE.format(label=label, ms=int((time.perf_counter() - start) * 1000)))
         return result
 
     def __str__(self) -> str:
@@ -45,12 +50,10 @@ def rank_articles(spark: SparkSession, path: str, vocab: Sequence[str] = LANGUAG
     arts = lines.read_articles(spark, path).cache()
     t = Timings()
     try:
-        naive = t.timed("Part 1: naive ranking", lambda: articles.rank_terms(arts, vocab).collect())
+        naive = t.timed(PHASES[0], lambda: articles.rank_terms(arts, vocab).collect())
         index = articles.inverted_index(arts, vocab)
-        by_index = t.timed("Part 2: ranking using inverted index",
-                           lambda: articles.rank_terms_using_index(index, vocab).collect())
-        by_key = t.timed("Part 3: ranking using reduceByKey",
-                         lambda: articles.rank_terms_agg(arts, vocab).collect())
+        by_index = t.timed(PHASES[1], lambda: articles.rank_terms_using_index(index, vocab).collect())
+        by_key = t.timed(PHASES[2], lambda: articles.rank_terms_agg(arts, vocab).collect())
     finally:
         arts.unpersist()
     return {"naive": [tuple(r) for r in naive], "index": [tuple(r) for r in by_index],
