@@ -73,28 +73,28 @@ def parse_postings(lines: DataFrame, line_col: str = "value", mode: str = "stric
 
     Fields 0, 1 and 4 are mandatory integers, 2 and 3 are empty or an
     integer, field 5 (tag) is optional and anything after it is ignored; an
-    empty tag is null. `mode="strict"` fails the job on a malformed line
-    (ANSI cast / index errors); `mode="permissive"` returns a pair
-    `(postings, rejects)` where rejects holds the lines that did not parse.
+    empty tag is null. `mode="strict"` fails the job on the first malformed
+    line; `mode="permissive"` returns a pair `(postings, rejects)` where
+    rejects holds the lines that did not parse. Validity is checked
+    explicitly, so both modes behave the same with ANSI mode on or off.
     """
     if mode not in ("strict", "permissive"):
         raise ValueError("mode must be 'strict' or 'permissive'")
-    arr = F.split(F.col(line_col), ",")
-    tag = F.nullif(F.get(arr, 5), F.lit("")).alias("tag")
-    if mode == "strict":
-        return lines.select(
-            *[(F.nullif(arr[i], F.lit("")) if optional else arr[i]).cast(dtype).alias(name)
-              for i, (name, dtype, optional) in enumerate(POSTING_FIELDS)], tag)
-    raw = lines.select(F.col(line_col).alias("_line"),
-                       *[F.get(arr, i).alias(f"_raw{i}") for i in range(len(POSTING_FIELDS))], tag)
+    line = F.col(line_col)
+    arr = F.split(line, ",")
     typed, ok = [], F.lit(True)
     for i, (name, dtype, optional) in enumerate(POSTING_FIELDS):
-        text = F.col(f"_raw{i}")
+        text = F.get(arr, i)
         value = F.nullif(text, F.lit("")).try_cast(dtype)
         valid = text.isNotNull() & ((text == "") | value.isNotNull()) if optional else value.isNotNull()
         typed.append(value.alias(name))
         ok = ok & valid
-    checked = raw.select(*typed, "tag", "_line", ok.alias("_ok"))
+    tag = F.nullif(F.get(arr, 5), F.lit("")).alias("tag")
+    if mode == "strict":
+        first = F.when(ok, typed[0]).otherwise(
+            F.raise_error(F.concat(F.lit("malformed posting line: "), line.substr(1, 80))))
+        return lines.select(first.alias(POSTING_FIELDS[0][0]), *typed[1:], tag)
+    checked = lines.select(*typed, tag, line.alias("_line"), ok.alias("_ok"))
     good = checked.where(F.col("_ok")).drop("_line", "_ok")
     rejects = checked.where(~F.col("_ok")).select(F.col("_line").alias(line_col))
     return good, rejects

@@ -109,3 +109,15 @@ def test_sql_string_round_trip(spark):
     from quire.functions.text import vocab_array
     terms = ["O'Reilly", "a\\b", "C++", '"q"', "f\u00fcr", "tab\there", "back\\'quote", "x\\n", "new\nline"]
     assert spark.range(1).select(vocab_array(terms).alias("a")).first()[0] == terms
+
+
+def test_strict_postings_fail_without_ansi(spark):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for bad in ["1,x,,,5,", "1,7", "1,7,y,,5,"]:
+            with pytest.raises(Exception, match="malformed posting line"):
+                L.parse_postings(lines_df(spark, [bad])).collect()
+        assert rows(L.parse_postings(lines_df(spark, ["1,7,,,5,"]))) == [(1, 7, None, None, 5, None)]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
