@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from quire.functions.buckets import sql_name
+from quire.functions.text import sql_string
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> tuple[list[str], DataFrame]:
@@ -30,7 +31,14 @@ def row_schema(columns: list[str]) -> T.StructType:
 
 def typed_rows(df: DataFrame) -> DataFrame:
     """Cast raw fields to the row schema: the first field stays a string, all
-    others become doubles (ANSI mode: a non-numeric field fails the job)."""
+    others become doubles. A non-numeric field fails the job (checked
+    explicitly, so also with ANSI mode off); an empty field is null."""
     cols = df.columns
-    return df.selectExpr(*[f"CAST({sql_name(c)} AS {'STRING' if i == 0 else 'DOUBLE'}) AS {sql_name(c)}"
-                           for i, c in enumerate(cols)])
+
+    def as_double(c: str) -> str:
+        n = sql_name(c)
+        return (f"CASE WHEN {n} IS NOT NULL AND try_cast({n} AS DOUBLE) IS NULL "
+                f"THEN raise_error(concat('not a number in column ', {sql_string(c)}, ': ', CAST({n} AS STRING))) "
+                f"ELSE try_cast({n} AS DOUBLE) END AS {n}")
+    return df.selectExpr(f"CAST({sql_name(cols[0])} AS STRING) AS {sql_name(cols[0])}",
+                         *[as_double(c) for c in cols[1:]])

@@ -101,8 +101,15 @@ def test_typed_rows(spark):
     out = C.typed_rows(df)
     assert out.dtypes == [("a", "string"), ("b", "double"), ("c", "double")]
     assert rows(out) == [("id1", 1.0, 2.5), ("id2", 3.0, 4.0)]
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="not a number in column b"):
         C.typed_rows(spark.createDataFrame([("id", "x")], "a string, b string")).collect()
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="not a number in column b"):
+            C.typed_rows(spark.createDataFrame([("id", "x")], "a string, b string")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
 
 
 def test_sql_string_round_trip(spark):
