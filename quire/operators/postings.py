@@ -22,19 +22,30 @@ def answers(postings: DataFrame) -> DataFrame:
     return postings.where(F.col("posting_type") == ANSWER)
 
 
-def grouped_postings(postings: DataFrame) -> DataFrame:
+def grouped_postings(postings: DataFrame, salt: int = 0) -> DataFrame:
     """Questions paired with their answers, in long form: one row per
     (question, answer) with `qid` and both postings' fields prefixed q_/a_.
 
     Inner equi-join on q.id = a.parent_id: unanswered questions and answers
     without a parent drop out. The grouping of the original is the `qid`
     column; no per-question list is built, so a question with a huge number
-    of answers is many rows (and AQE's skew-join splits its partition).
+    of answers is many rows. A hot question's partition is split by AQE's
+    skew join; with `salt=S` the split is explicit instead (for sessions
+    without AQE): answers carry a salt in [0, S) from a hash of their id,
+    questions are replicated S times, and the join key is (id, salt), so
+    one question's answers spread over S tasks. The output is the same.
     """
     q = questions(postings).select(*[F.col(c).alias(f"q_{c}") for c in postings.columns])
     a = answers(postings).select(*[F.col(c).alias(f"a_{c}") for c in postings.columns])
-    return (q.join(a, F.col("q_id") == F.col("a_parent_id"), "inner")
-            .select(F.col("q_id").alias("qid"), *[c for c in q.columns], *[c for c in a.columns]))
+    if salt > 1:
+        q = q.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        a = a.withColumn("_salt", F.pmod(F.xxhash64("a_id", "a_score"), F.lit(salt)).cast("int"))
+        cond = (F.col("q_id") == F.col("a_parent_id")) & (q["_salt"] == a["_salt"])
+    else:
+        cond = F.col("q_id") == F.col("a_parent_id")
+    return (q.join(a, cond, "inner")
+            .select(F.col("q_id").alias("qid"), *[F.col(f"q_{c}") for c in postings.columns],
+                    *[F.col(f"a_{c}") for c in postings.columns]))
 
 
 def scored_postings(postings: DataFrame, unique_ids: bool = True) -> DataFrame:
