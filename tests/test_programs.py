@@ -40,3 +40,11 @@ def test_summarise_time_use(spark, tmp_path, capsys):
     p.write_text("tucaseid,telfs,tesex,teage,t010101,t050101,t020101\n1,1,1,30,600,480,120\n3,3,2,20,500,0,400\n")
     got = [tuple(r) for r in programs.summarise_time_use(spark, str(p)).collect()]
     assert got == [("not working", "female", "young", 8.3, 0.0, 6.7), ("working", "male", "active", 10.0, 8.0, 2.0)]
+
+
+def test_cluster_postings_checks_expected_count(spark, tmp_path):
+    import pytest
+    p = tmp_path / "postings.csv"
+    p.write_text("1,1,,,0,Java\n2,2,,1,5,\n")
+    with pytest.raises(Exception, match="Incorrect number of vectors"):
+        programs.cluster_postings(spark, str(p), vocab=["Java"], kernels=1, expected_vectors=2, debug=False)
