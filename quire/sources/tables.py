@@ -95,15 +95,22 @@ def wide_minute_columns() -> list[str]:
 
 
 def wide_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One respondent per order with at least one line item (see `wide_from`)."""
+    return wide_from(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+
+
+def wide_from(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """One respondent per order with at least one line item: id, three codes
     and 20 minute columns.
 
     The line items are summed per order *before* the join (partial + final
     aggregation on l_orderkey), so the join is 1:1 on the order key and no
-    order with many lines becomes a hot join key.
+    order with many lines becomes a hot join key. When both tables are
+    bucketed by order key into the same number of buckets, the aggregate
+    and the join run without any exchange.
     """
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    orders = orders.select("o_orderkey", "o_custkey")
+    lines = lineitem.select("l_orderkey", "l_partkey", "l_quantity")
     minutes = (lines.groupBy("l_orderkey")
                .agg(*[F.expr(f"sum(CASE WHEN l_partkey % 20 = {i} THEN l_quantity * 10 ELSE 0.0 END)").alias(name)
                       for i, name in enumerate(WIDE_MINUTE_COLUMNS)]))

@@ -76,3 +76,24 @@ def test_kmeans_rounds_read_the_checkpoint_only(spark):
     for df in (clustering._centroids(points, centers),
                clustering.cluster_results(points, centers, P.POSTING_VOCAB, P.SPREAD)):
         assert "FileScan" not in executed(df)  # lineage cut: the base tables are not read again
+
+
+def test_bucketed_inputs_make_the_wide_view_shuffle_free(spark, tmp_path):
+    from quire.operators import timeuse
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+            (tables.table(spark, SF, name).write.bucketBy(8, key).mode("overwrite")
+             .option("path", str(tmp_path / name)).saveAsTable(f"quire_test_{name}_b"))
+        wide = tables.wide_from(spark.table("quire_test_orders_b"), spark.table("quire_test_lineitem_b"))
+        plan = executed(wide)
+        assert "Exchange" not in plan, plan
+        # the bucketed input gives the same summary as the plain one
+        got = sorted(tuple(r) for r in timeuse.time_usage_grouped(timeuse.time_usage_summary(wide)).collect())
+        want = sorted(tuple(r) for r in catalogue.time_usage_grouped(spark, SF).collect())
+        assert got == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        for name in ("orders", "lineitem"):
+            spark.sql(f"DROP TABLE IF EXISTS quire_test_{name}_b")
