@@ -48,10 +48,15 @@ def article_lines_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- postings -------------------------------------------------------------
 
 def postings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions from orders, answers from line items (see `postings_from`)."""
+    return postings_from(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+
+
+def postings_from(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Questions from orders, answers from line items, in the posting schema
-    (posting_type, id, accepted_answer, parent_id, score, tag)."""
-    orders = table(spark, sf_dir, "orders")
-    lines = table(spark, sf_dir, "lineitem")
+    (posting_type, id, accepted_answer, parent_id, score, tag). Operators
+    that filter on the posting type read one table per side, so order-key
+    bucketing of the inputs carries through to their joins."""
     questions = orders.select(
         F.lit(1).alias("posting_type"),
         F.col("o_orderkey").alias("id"),

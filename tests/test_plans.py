@@ -97,3 +97,22 @@ def test_bucketed_inputs_make_the_wide_view_shuffle_free(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         for name in ("orders", "lineitem"):
             spark.sql(f"DROP TABLE IF EXISTS quire_test_{name}_b")
+
+
+def test_bucketed_inputs_make_scoring_shuffle_free(spark, tmp_path):
+    from quire.operators import postings
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+            (tables.table(spark, SF, name).write.bucketBy(8, key).mode("overwrite")
+             .option("path", str(tmp_path / name)).saveAsTable(f"quire_test_{name}_p"))
+        posts = tables.postings_from(spark.table("quire_test_orders_p"), spark.table("quire_test_lineitem_p"))
+        scored = postings.scored_postings(posts).select("id", "tag", "high_score")
+        assert "Exchange" not in executed(scored)
+        want = sorted(tuple(r) for r in catalogue.scored_postings(spark, SF).collect())
+        assert sorted(tuple(r) for r in scored.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        for name in ("orders", "lineitem"):
+            spark.sql(f"DROP TABLE IF EXISTS quire_test_{name}_p")
