@@ -7,17 +7,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import simhash
+from quire.llm import packing, simhash, simple8b
 from quire.llm.common import read_table
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(read_table(spark, sf_dir, "documents")))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simple8b.round_trip(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op4_simhash_near_dedup,
+        op1_packing, op4_simhash_near_dedup, op7_simple8b_ids,
     )
 }
 
