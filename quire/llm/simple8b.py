@@ -39,19 +39,27 @@ COUNTS = np.array([n for n, _ in SELECTORS])
 
 
 def choose(table: np.ndarray) -> np.ndarray:
-    """Best selector at every position of the blocks (rows of `table`, padded
-    by 60 zeros): the fewest bytes of words and escapes per id."""
+    """Selector at every position of the blocks (rows of `table`, padded by 60
+    zeros): the fewest bytes of words and escapes per id. Widths that hold
+    less than a quarter of the ids are not tried, nor are those wider than
+    the narrowest that holds them all."""
     size = table.shape[1] - 60
     best = np.full((len(table), size), 65535, np.uint16)
     chosen = np.zeros((len(table), size), np.uint8)
+    top = int(table.max(initial=0))
+    if top < 1 << 16:
+        table = table.astype(np.uint16)
+    last = max(s for s, (_, width) in enumerate(SELECTORS) if top < (1 << width) - 1)
     for s, (n, width) in enumerate(SELECTORS):
+        if s < last:
+            continue
+        over = table >= (1 << width) - 1 if top >= (1 << width) - 1 else np.zeros(table.shape, bool)
+        if s > last and np.count_nonzero(over[:, :size]) > 0.75 * over[:, :size].size:
+            break
         wide = np.zeros((len(table), table.shape[1] + 1), np.uint8)
-        np.cumsum(table >= (1 << width) - 1, axis=1, dtype=np.uint8, out=wide[:, 1:])
-        escapes = wide[:, n:n + size] - wide[:, :size]  # modulo 256, at most 60
+        np.cumsum(over, axis=1, dtype=np.uint8, out=wide[:, 1:])
         cost = np.minimum((8 + 4 * np.arange(256)) * 840 // n, 65534).astype(np.uint16)
-        if cost[escapes.min(initial=255)] >= best.max(initial=0):
-            continue
-        cost = cost[escapes]
+        cost = cost[wide[:, n:n + size] - wide[:, :size]]  # escapes: modulo 256, at most 60
         better = cost < best
         np.copyto(best, cost, where=better)
         chosen[better] = s
@@ -176,7 +184,7 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = encoder(tokenizer_path(tokenizer)).encode
+        encode_text = encoder(tokenizer_path(tokenizer)).encode
         part, number = TaskContext.get().partitionId(), 0
         doc_ids, pieces, size = [], [], 0
 
@@ -191,7 +199,7 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 doc_ids.append(doc_id)
-                pieces.append(one(text) + end)
+                pieces.append(encode_text(text) + end)
                 size += len(pieces[-1]) // 4
                 if size >= SEGMENT_IDS:
                     yield segment()
