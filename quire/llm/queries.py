@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import packing, simhash, simple8b
+from quire.llm import langid, outliers, packing, simhash, simple8b
 from quire.llm.common import read_table
 
 
@@ -19,13 +19,22 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.quality(read_table(spark, sf_dir, "documents"))
+
+
 def op7_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.round_trip(read_table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_packing, op4_simhash_near_dedup, op7_simple8b_ids,
+        op1_packing, op4_simhash_near_dedup, op5_robust_outliers, op7_simple8b_ids,
+        op10_language_id,
     )
 }
 
