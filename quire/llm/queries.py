@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import langid, outliers, packing, simhash, simple8b
+from quire.llm import langid, outliers, packing, simhash, simple8b, webtext
 from quire.llm.common import read_table
 
 
@@ -15,6 +15,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(read_table(spark, sf_dir, "documents")))
 
 
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webtext.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -33,7 +37,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_packing, op4_simhash_near_dedup, op5_robust_outliers, op7_simple8b_ids,
+        op1_packing, op3_html_main_text, op4_simhash_near_dedup, op5_robust_outliers, op7_simple8b_ids,
         op10_language_id,
     )
 }
