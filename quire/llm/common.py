@@ -10,6 +10,7 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import numpy as np
 import quire
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -128,3 +129,18 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
     roots = current.select(F.col("b").alias("node"), F.col("a").alias("root"))
     return roots.unionAll(current.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
+
+
+def merge(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Join the classes of each pair (i, j); a class's label is its least row."""
+    while len(i):
+        a, b = labels[i], labels[j]
+        apart = a != b
+        if not apart.any():
+            return
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        low = np.minimum(a, b)
+        np.minimum.at(labels, a, low)
+        np.minimum.at(labels, b, low)
+        while (deeper := labels[labels]).tobytes() != labels.tobytes():
+            labels[:] = deeper

@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quire.llm import langid, outliers, packing, simhash, simple8b, webtext
+from quire.llm import embeddings, langid, lines, outliers, packing, simhash, simple8b, webtext
 from quire.llm.common import read_table
 
 
@@ -31,6 +32,15 @@ def op7_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.round_trip(read_table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), "text")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
@@ -38,7 +48,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op3_html_main_text, op4_simhash_near_dedup, op5_robust_outliers, op7_simple8b_ids,
-        op10_language_id,
+        op8_embedding_near_dedup, op9_line_dedup, op10_language_id,
     )
 }
 

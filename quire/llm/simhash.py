@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import components, map_arrow, scratch_table
+from quire.llm.common import components, map_arrow, merge, scratch_table
 
 SEED = 42
 SHINGLE_WORDS = 4
@@ -127,21 +127,6 @@ def survivors(fp: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray,
     return i[near], j[near]
 
 
-def merge(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
-    """Join the classes of each pair (i, j); a class's label is its least row."""
-    while len(i):
-        a, b = labels[i], labels[j]
-        apart = a != b
-        if not apart.any():
-            return
-        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-        low = np.minimum(a, b)
-        np.minimum.at(labels, a, low)
-        np.minimum.at(labels, b, low)
-        while (deeper := labels[labels]).tobytes() != labels.tobytes():
-            labels[:] = deeper
-
-
 def group_labels(key: np.ndarray, fp: np.ndarray, max_bits: int, refs: np.ndarray) -> np.ndarray:
     """For rows sorted by key: the least row linked to each row within its key.
 
