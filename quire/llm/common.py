@@ -12,8 +12,9 @@ from pathlib import Path
 
 import numpy as np
 import quire
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quire.session import ensure_checkpoint_dir
 
@@ -38,7 +39,7 @@ def ship_package(spark: SparkSession) -> None:
     sc._quire_shipped = True
 
 
-def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     """`df.mapInArrow(run, schema)` with the package on the workers."""
     ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)
@@ -71,27 +72,21 @@ def without(df: DataFrame, *names: str) -> DataFrame:
 
 def running_start(parts: DataFrame, part: str, order: list[str], value: str, out: str,
                   group: list[str] | None = None) -> DataFrame:
-    """Exclusive running total of `value` over (part, order) within `group`.
+    """`parts` with the exclusive running total of `value` over (part, order)
+    within `group`, as column `out`; part and group columns hold no nulls.
 
     Two levels: totals per part are summed in one small window (a row per
     part and group), and each part's rows in a window of their own, so no
     window holds more than one part.
     """
-    group = group or []
-    totals = parts.groupBy(*group, part).agg(F.sum(value).alias("_total"))
-    over_parts = Window.partitionBy(*[F.col(g) for g in group] or [F.lit(0)]).orderBy(part)
-    bases = totals.select(*group, part, (F.sum("_total").over(over_parts) - F.col("_total")).alias("_base"))
-    keys = [*group, part]
+    keys = [*(group or []), part]
+    totals = parts.groupBy(*keys).agg(F.sum(value).alias("_total"))
+    over_parts = Window.partitionBy(*[F.col(g) for g in group or []] or [F.lit(0)]).orderBy(part)
+    bases = totals.select(*keys, (F.sum("_total").over(over_parts) - F.col("_total")).alias("_base"))
     within = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     inner = parts.withColumn("_within", F.coalesce(F.sum(value).over(within), F.lit(0)))
-    same: Column | None = None
-    bases = bases.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_base")
-    for k in keys:
-        eq = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-        same = eq if same is None else same & eq
-    return (inner.join(bases, same, "left")
-            .withColumn(out, (F.col("_base") + F.col("_within")).cast("long"))
-            .drop("_base", "_within", *[f"_k_{k}" for k in keys]))
+    return (inner.join(bases, keys).withColumn(out, (F.col("_base") + F.col("_within")).cast("long"))
+            .drop("_base", "_within"))
 
 
 def components(edges: DataFrame) -> DataFrame:

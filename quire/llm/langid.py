@@ -178,6 +178,22 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return map_arrow(rows, run, "doc_id long, lang_pred string, score double, rejected boolean")
 
 
+def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of `docs`, all columns, that the model does not reject."""
+    model = fit(docs, id_col, text_col, lang_col)
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep: list[bool] = []
+            for lo in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                found = model.predict(batch.column(place).slice(lo, TEXTS_AT_ONCE).to_pylist())
+                keep += [not rejected for _, _, rejected in found]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return map_arrow(docs, run, docs.schema)
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(doc_id, held_out, lang_pred, score, rejected) per row of `docs`.
 

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import embeddings, langid, lines, outliers, packing, simhash, simple8b, webtext
+from quire.llm import (embeddings, langid, lines, mixing, outliers, packing, simhash, simple8b, webtext,
+                       wordpiece)
 from quire.llm.common import read_table
 
 
@@ -16,6 +17,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(read_table(spark, sf_dir, "documents")))
 
 
+def op2_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", *mixing.OUTPUTS)
+
+
 def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return webtext.extract(read_table(spark, sf_dir, "pages"))
 
@@ -28,6 +34,10 @@ def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.quality(read_table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.token_counts(read_table(spark, sf_dir, "documents"))
+
+
 def op7_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.round_trip(read_table(spark, sf_dir, "documents"))
 
@@ -47,8 +57,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_packing, op3_html_main_text, op4_simhash_near_dedup, op5_robust_outliers, op7_simple8b_ids,
-        op8_embedding_near_dedup, op9_line_dedup, op10_language_id,
+        op1_packing, op2_pfair_mixing, op3_html_main_text, op4_simhash_near_dedup, op5_robust_outliers,
+        op6_token_counts, op7_simple8b_ids, op8_embedding_near_dedup, op9_line_dedup, op10_language_id,
     )
 }
 
