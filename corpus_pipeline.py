@@ -3,20 +3,49 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quire.llm import simhash
+from quire.llm import langid, lines, mixing, packing, simhash
 from quire.llm.common import read_table, scratch_table
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; the rest keep their columns."""
+    return langid.identified(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Blocks that an earlier document has go; so do documents left blank by it."""
+    found = lines.dedup_lines(docs)
+    blank = F.length(F.translate("text", " \t\r\n\x0b\f", "")) == 0
+    found = found.where(F.col("text").isNull() | (F.col("n_removed") == 0) | ~blank)
+    length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return found.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one with the smallest id."""
-    classes = simhash.near_duplicates(docs)
-    keep = classes.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi")
+    """One document of each SimHash group stays: the one with the smallest id.
+    Documents without an id stay."""
+    copies = simhash.near_duplicates(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture in slot order; documents of small sources come repeatedly."""
+    return mixing.in_order(mixing.mix(docs)).select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of power-of-two length, with the crc32 of their ids."""
+    return packing.digest(packing.pack(docs))
 
 
 STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
     ("simhash_near_dedup", near_dedup),
+    ("mix_sources", mix_sources),
+    ("pack", pack),
 ]
 
 ORACLE_SQL = None
