@@ -63,11 +63,22 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def without(df: DataFrame, *names: str) -> DataFrame:
-    """`df` minus its columns called like one of `names` (case-insensitive, as
-    Spark resolves names): an operator's own outputs replace them."""
-    taken = {n.lower() for n in names}
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+def numbered(df: DataFrame) -> DataFrame:
+    """`df` with its columns called c0, c1, ..., which no operator's own clash with."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def place(df: DataFrame, name: str) -> str:
+    """What `numbered` calls the column `name` of `df`."""
+    return f"c{[c.lower() for c in df.columns].index(name.lower())}"
+
+
+def renamed(df: DataFrame, like: DataFrame, outputs: tuple[str, ...]) -> DataFrame:
+    """The columns of `like` under their old names, and the operator's outputs,
+    which replace columns of the same name (case-insensitive, as in Spark)."""
+    taken = {n.lower() for n in outputs}
+    old = [F.col(f"c{i}").alias(c) for i, c in enumerate(like.columns) if c.lower() not in taken]
+    return df.select(*old, *outputs)
 
 
 def running_start(parts: DataFrame, part: str, order: list[str], value: str, out: str,

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import map_arrow, scratch_table, without
+from quire.llm.common import map_arrow, numbered, place, renamed, scratch_table
 
 RARE = 8
 #: Lines shorter than this nominate no pairs.
@@ -89,7 +89,7 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, digest, hashes, chars) per row with an id and a text: hash and
     length of each trimmed line, zeros for a blank one."""
     lines = F.transform(F.split(F.col(f"`{text_col}`"), "\n"), lambda s: F.btrim(s, F.lit(" \t\r\x0b\f")))
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), digest(text_col).alias("digest"),
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), digest(F.col(f"`{text_col}`")).alias("digest"),
                        lines.alias("lines")).where("doc_id is not null and digest is not null")
     return rows.select(
         "doc_id", "digest",
@@ -97,8 +97,8 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.transform("lines", lambda s: F.length(s)).alias("chars"))
 
 
-def digest(text_col: str) -> Column:
-    return F.unhex(F.md5(F.col(f"`{text_col}`")))
+def digest(text: Column) -> Column:
+    return F.unhex(F.md5(text))
 
 
 def candidate_pairs(texts: DataFrame) -> DataFrame:
@@ -158,20 +158,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     removed = aligned_lines(texts, candidate_pairs(texts), least)
     found = (firsts.join(removed, "digest", "left").where("copies > 1 or removed is not null")
              .select(F.col("digest").alias("_digest"), F.col("first").alias("_first"), F.col("removed").alias("_removed")))
-    body = F.col(f"`{text_col}`")
-    rows = without(docs, "n_lines", "n_removed").withColumn("_own", digest(text_col))
-    rows = rows.join(found, F.col("_own") == F.col("_digest"), "left")
+    doc_id, body = F.col(place(docs, id_col)), F.col(place(docs, text_col))
+    rows = numbered(docs).withColumn("_own", digest(body)).join(found, F.col("_own") == F.col("_digest"), "left")
     lines = F.split(body, "\n")
     chars = F.length(F.translate(body, " \t\r\n\x0b\f", ""))
-    copy = (F.col(f"`{id_col}`") > F.col("_first")) & (chars >= least)
-    places = F.when(copy, F.sequence(F.lit(0), F.size(lines) - 1)).when(
-        F.col(f"`{id_col}`").isNotNull(), F.col("_removed"))
+    copy = (doc_id > F.col("_first")) & (chars >= least)
+    places = F.when(copy, F.sequence(F.lit(0), F.size(lines) - 1)).when(doc_id.isNotNull(), F.col("_removed"))
     places = F.coalesce(places, F.expr("cast(array() as array<int>)"))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_places"))
     rows = rows.withColumn("_places", places).withColumn("_lines", lines)
     rows = (rows.withColumn("n_lines", F.when(body.isNotNull(), F.size("_lines")).cast("long"))
             .withColumn("n_removed", F.when(body.isNotNull(), F.size("_places")).cast("long")))
-    text = F.when(F.size("_places") > 0, F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")).otherwise(body)
-    names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
-    return rows.select(*[text.alias(c) if c.lower() == text_col.lower() else F.col(f"`{c}`") for c in names],
-                       "n_lines", "n_removed")
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_places"))
+    text = F.when(F.size("_places") > 0, F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n"))
+    return renamed(rows.withColumn(place(docs, text_col), text.otherwise(body)), docs, ("n_lines", "n_removed"))

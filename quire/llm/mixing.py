@@ -20,7 +20,7 @@ import heapq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import running_start, without
+from quire.llm.common import numbered, place, renamed, running_start
 
 BLOCK_CHARS = 65_536
 FRAME_SLOTS = 1000
@@ -78,11 +78,10 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col:
     gives no rows.
     """
     spark = docs.sparkSession
-    source, text = F.col(f"`{source_col}`"), F.col(f"`{text_col}`")
-    rows = without(docs, *OUTPUTS)
-    rows = rows.select("*", F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("_source"),
+    doc_id, text, source = (F.col(place(docs, c)) for c in (id_col, text_col, source_col))
+    rows = numbered(docs).select("*", F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("_source"),
                        F.greatest(F.lit(1), F.coalesce(F.length(text), F.lit(0))).cast("long").alias("_size"),
-                       F.xxhash64(F.col(f"`{id_col}`"), text).alias("_hash"))
+                       F.xxhash64(doc_id, text).alias("_hash"))
     totals = rows.groupBy("_source").agg(F.sum("_size").alias("size"), F.count("*").alias("n")).limit(
         MAX_SOURCES + 1).collect()
     if len(totals) > MAX_SOURCES:
@@ -106,7 +105,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col:
 
     n_parts = -(-sum(r["n"] for r in totals) // ROWS_PER_PART) or 1
     rows = running_start(rows.withColumn("_part", F.pmod("_hash", F.lit(n_parts))), "_part",
-                         ["_hash", f"`{id_col}`"], "_size", "_start", group=["_source"])
+                         ["_hash", place(docs, id_col)], "_size", "_start", group=["_source"])
     rows = rows.join(F.broadcast(plan), "_source")  # MAX_SOURCES rows, their slots a frame's
     copies = F.ceil((F.col("_quota") - F.col("_start")) / F.col("_total")).cast("int")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
@@ -116,8 +115,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col:
     rows = (rows.withColumn("release", F.expr(f"block * {slots} div _share"))
             .withColumn("deadline", F.expr(f"-((-(block + 1) * {slots} - _share + 1) div _share)"))
             .withColumn("slot", (frame + F.get("_slots", (F.col("block") % F.col("_share")).cast("int"))).cast("long")))
-    kept = [c for c in docs.columns if c.lower() not in OUTPUTS]
-    return rows.select(*[F.col(f"`{c}`") for c in kept], *OUTPUTS)
+    return renamed(rows, docs, OUTPUTS)
 
 
 def in_order(mixed: DataFrame) -> DataFrame:

@@ -14,11 +14,14 @@ import os
 import re
 from array import array
 
+from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core
 
 PLAIN = "\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-ſ‐-‧€"
 LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ"
-MEMO_ENTRIES = 1_000_000  # about 200 MB a worker
+MEMO_ENTRIES = 500_000  # about 100 MB a worker
 
 # The pre-token rules that the tokenizer files state, over PLAIN.
 BYTE_LEVEL = rf" ?[{LETTERS}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+"
@@ -31,33 +34,36 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer, self.pieces = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for t in (self.tokenizer, self.pieces):
+            t.encode_special_tokens = True  # their strings in a text are ordinary text
+        # pre-tokens are normalised and cut already: only bytes and merges are left to do
+        self.pieces.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        if self.pieces.normalizer is not None:
+            self.pieces.normalizer = None
         self.lower = self.tokenizer.normalizer is not None
         self.pretokens = re.compile(WORD_LEVEL if self.lower else BYTE_LEVEL).findall
         self.odd = re.compile(f"[^{PLAIN}]").search
         self.memo: dict[str, bytes] = {}
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+    @staticmethod
+    def _ids(tokenizer: Tokenizer, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text; a null text has none."""
         if not text:
             return b""
         if self.odd(text):
-            return self._library([text])[0]
-        words, get = self.pretokens(text.lower() if self.lower else text), self.memo.__getitem__
-        try:
-            return b"".join(map(get, words))
-        except KeyError:
+            return self._ids(self.tokenizer, [text])[0]
+        words = self.pretokens(text.lower() if self.lower else text)
+        new = list(set(words).difference(self.memo))
+        if new:
             if len(self.memo) > MEMO_ENTRIES:
                 self.memo.clear()
-            new = [w for w in dict.fromkeys(words) if w not in self.memo]
-            self.memo.update(zip(new, self._library(new)))
-            return b"".join(map(get, words))
+                new = list(set(words))
+            self.memo.update(zip(new, self._ids(self.pieces, new)))
+        return b"".join(map(self.memo.__getitem__, words))
 
 
 def encoder(path: str) -> Encoder:
