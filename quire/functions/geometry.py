@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 # Centres are inlined into the plan, one distance expression per centre;
 # k must stay a small parameter.
 MAX_CENTERS = 4_096
+# Beyond this many centres the unrolled distances pass the 8,000 bytes of
+# bytecode up to which the JVM compiles a method.
+UNROLLED = 64
 
 
 def sq_distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
@@ -27,30 +30,38 @@ def nearest_center(x: Column | str, y: Column | str,
                    centers: Sequence[tuple[int, int, int]]) -> Column:
     """Id of the centre closest to (x, y); equal distances go to the lower id.
 
-    `centers` is a list of (center_id, cx, cy). The result is
-    `least(struct(d_0, id_0), ..., struct(d_k, id_k)).id`: ordering by
-    (distance, id) gives the first-in-order tie-break, and every term is a
-    plain expression that whole-stage codegen compiles. With column names
-    the expression is handed over as one SQL text (one call instead of a
-    few hundred small ones when k is large).
+    `centers` is a list of (center_id, cx, cy). Up to `UNROLLED` centres the
+    result is the place of the least of the distances d_0 .. d_k, plain
+    primitive arithmetic that whole-stage codegen keeps within the size the
+    JVM compiles. More centres are a literal array walked by a higher-order
+    function, whose code does not grow with k. Centres are tried in id order,
+    and the first of equal distances is found.
     """
     if not centers:
         raise ValueError("at least one centre is needed")
     if len(centers) > MAX_CENTERS:
         raise ValueError(f"{len(centers)} centres exceed the bound {MAX_CENTERS}")
+    centers = sorted((int(cid), int(cx), int(cy)) for cid, cx, cy in centers)
+    ids = F.array(*[F.lit(cid) for cid, _, _ in centers])
+    if len(centers) == 1:
+        return F.lit(centers[0][0])
+    if len(centers) > UNROLLED:
+        places = F.array(*[F.struct(F.lit(cx).cast("bigint").alias("x"), F.lit(cy).cast("bigint").alias("y"))
+                           for _, cx, cy in centers])
+        xc, yc = (F.col(c) if isinstance(c, str) else c for c in (x, y))
+        found = F.array_min(F.transform(places, lambda c, i: F.struct(
+            sq_distance(xc, yc, c["x"], c["y"]).alias("d"), i.alias("i"))))["i"]
+        return F.element_at(ids, found + 1)
     if isinstance(x, str) and isinstance(y, str):
         xs, ys = f"CAST({_sql_name(x)} AS BIGINT)", f"CAST({_sql_name(y)} AS BIGINT)"
-        terms = [f"named_struct('d', ({xs} - {int(cx)}) * ({xs} - {int(cx)}) + ({ys} - {int(cy)}) * ({ys} - {int(cy)}),"
-                 f" 'id', {int(cid)})" for cid, cx, cy in centers]
-        best = terms[0] if len(terms) == 1 else "least(" + ", ".join(terms) + ")"
-        return F.expr(f"{best}.id")
-    xc = F.col(x) if isinstance(x, str) else x
-    yc = F.col(y) if isinstance(y, str) else y
-    cols = [F.struct(sq_distance(xc, yc, F.lit(int(cx)), F.lit(int(cy))).alias("d"),
-                     F.lit(int(cid)).alias("id"))
-            for cid, cx, cy in centers]
-    best_col = cols[0] if len(cols) == 1 else F.least(*cols)
-    return best_col.getField("id")
+        ds = ", ".join(f"({xs} - {cx}) * ({xs} - {cx}) + ({ys} - {cy}) * ({ys} - {cy})" for _, cx, cy in centers)
+        at = f"array_position(array({ds}), least({ds}))"
+        if [cid for cid, _, _ in centers] == list(range(len(centers))):
+            return F.expr(f"CAST({at} - 1 AS INT)")
+        return F.element_at(ids, F.expr(f"CAST({at} AS INT)"))
+    xc, yc = (F.col(c) if isinstance(c, str) else c for c in (x, y))
+    cols = [sq_distance(xc, yc, F.lit(cx), F.lit(cy)) for _, cx, cy in centers]
+    return F.element_at(ids, F.array_position(F.array(*cols), F.least(*cols)).cast("int"))
 
 
 def int_div(a: Column, b: Column) -> Column:

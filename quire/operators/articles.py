@@ -107,14 +107,13 @@ def inverted_index_blocks(index: DataFrame, vocab: Sequence[str], block_size: in
 
     Each term's postings are cut into ceil(n_term / block_size) blocks by a
     hash of the title, so a block holds about `block_size` postings however
-    hot the term is. Per block: `titles` is the sorted array of its distinct
-    titles and `n` its number of postings (copies included); per term,
+    hot the term is. Per block: `titles` is the sorted array of its titles,
+    copies included, and `n` their number; per term,
     repeated on each of its blocks: `n_term` postings and `n_titles`
     distinct titles. A term without postings gets one row (block 0, zeros,
     no titles).
 
-    Plan: stage 1 groups (term, fine hash bucket) with map-side
-    de-duplication of titles; no group holds more than 2^-20 of a term.
+    Plan: stage 1 groups (term, fine hash bucket); no group holds more than 2^-20 of a term.
     With `materialize` it is checkpointed into `spark.checkpoint.dir`: the
     text is scanned once (one job runs here) and the per-term totals, the
     block cut and the empty-term rows all read the checkpoint. Without it
@@ -126,12 +125,12 @@ def inverted_index_blocks(index: DataFrame, vocab: Sequence[str], block_size: in
         raise ValueError("block_size must be positive")
     index = index.where(F.col("term").isin(vocab))  # keeps the broadcast totals within |vocab| rows
     fine = index.groupBy("term", F.shiftright(md5_prefix32("title"), 32 - FINE_BITS).alias("fine")).agg(
-        F.count(F.lit(1)).alias("n"), F.collect_set("title").alias("titles"))
+        F.count(F.lit(1)).alias("n"), F.collect_list("title").alias("titles"))
     if materialize:
         ensure_checkpoint_dir(index.sparkSession)
         fine = fine.checkpoint(eager=True)
     totals = F.broadcast(fine.groupBy("term").agg(
-        F.sum("n").alias("n_term"), F.sum(F.size("titles")).alias("n_titles")))
+        F.sum("n").alias("n_term"), F.sum(F.size(F.array_distinct("titles"))).alias("n_titles")))
     nblocks = F.greatest(F.lit(1), F.ceil(F.col("n_term") / F.lit(block_size))).cast("bigint")
     blocks = (fine.join(totals, "term")
               .withColumn("block", F.shiftright(F.col("fine") * nblocks, FINE_BITS))

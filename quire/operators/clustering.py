@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.geometry import MAX_CENTERS, int_div, nearest_center
+from quire.functions.checks import must_hold
 from quire.functions.hashing import md5_rank_key
 from quire.functions.text import check_vocab, vocab_array
 from quire.operators.common import sort_bounded
@@ -62,10 +63,6 @@ def distinct_vectors(vectors: DataFrame) -> DataFrame:
     return vectors.select("x", "y").distinct()
 
 
-def _fail(msg: str):
-    return F.raise_error(F.lit(msg))
-
-
 def _check_kernels(kernels: int) -> None:
     # the sample is numbered in one partition and collected: keep k bounded
     if not 0 < kernels <= MAX_CENTERS:
@@ -99,9 +96,8 @@ def sample_vectors(vectors: DataFrame, n_terms: int, kernels: int = DEFAULT_KERN
            .withColumn("n_all", F.count(F.lit(1)).over(Window.partitionBy()))
            .withColumn("cid", (F.row_number().over(Window.orderBy("x", "r")) - 1).cast("int")))
     ok = (F.col("n_tag") == per) & (F.col("n_all") == kernels)
-    return out.select(
-        F.when(ok, F.col("cid")).otherwise(_fail(f"sample needs {per} distinct vectors per tag and {kernels} in all"))
-        .alias("center_id"), "x", "y")
+    return must_hold(out, ok, f"sample needs {per} distinct vectors per tag and {kernels} in all").select(
+        F.col("cid").alias("center_id"), "x", "y")
 
 
 def sample_vectors_global(vectors: DataFrame, kernels: int = DEFAULT_KERNELS,
@@ -123,8 +119,8 @@ def number_centers(sample: DataFrame, kernels: int) -> DataFrame:
     out = (bounded
            .withColumn("cid", (F.row_number().over(Window.orderBy("x", "y")) - 1).cast("int"))
            .withColumn("n_all", F.count(F.lit(1)).over(Window.partitionBy())))
-    cid = F.when(F.col("n_all") == kernels, F.col("cid")).otherwise(_fail(f"sample must hold {kernels} vectors"))
-    return out.select(cid.alias("center_id"), "x", "y")
+    return must_hold(out, F.col("n_all") == kernels, f"sample must hold {kernels} vectors").select(
+        F.col("cid").alias("center_id"), "x", "y")
 
 
 def initial_centers(vectors: DataFrame, vocab: Sequence[str], spread: int,
@@ -278,8 +274,8 @@ def cluster_results(points: DataFrame, centers: Centers, vocab: Sequence[str],
     per_tag = [F.expr(f"sum(IF(x div {int(spread)} = {i}, w, 0)) AS n{i}") for i in range(len(vocab))]
     totals = assigned.groupBy("center_id").agg(
         F.sum("w").alias("size"), F.percentile("y", 0.5, F.col("w")).alias("med"), *per_tag)
-    top = F.expr("greatest(" + ", ".join(f"named_struct('n', n{i}, 'neg_idx', {-i})"
-                                         for i in range(len(vocab))) + ")")
+    tops = [f"named_struct('n', n{i}, 'neg_idx', {-i})" for i in range(len(vocab))]
+    top = F.expr(f"greatest({', '.join(tops)})" if len(tops) > 1 else tops[0])
     label = F.when(F.col("top.n") > 0, F.element_at(vocab_array(vocab), 1 - F.col("top.neg_idx")))
     summary = totals.select("center_id", top.alias("top"), "size", "med").select(
         "center_id",

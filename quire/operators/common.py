@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame
 
 def sort_bounded(df: DataFrame, *cols: str | Column) -> DataFrame:
     """Total order for a result whose row count has a fixed bound (a
-    vocabulary, k centres, a fixed set of bucket combinations): one
-    partition sorted locally. This skips the range-partition sampling job
-    that `orderBy` runs; use it only where the bound holds."""
-    return df.coalesce(1).sortWithinPartitions(*cols)
+    vocabulary, k centres, a fixed set of bucket combinations): its rows
+    move to one partition and are sorted there. The exchange keeps the
+    aggregate below parallel, and no sampling job runs as for `orderBy`; use
+    it only where the bound holds."""
+    return df.repartition(1).sortWithinPartitions(*cols)

@@ -90,5 +90,5 @@ def vector_count(vectors: DataFrame, expected: int | None = None) -> DataFrame:
     if expected is None:
         return vectors.agg(n.alias("n"))
     checked = F.when(n == F.lit(expected), n).otherwise(
-        F.raise_error(F.concat(F.lit("Incorrect number of vectors: "), n.cast("string"))))
+        F.raise_error(F.concat(F.lit("unexpected vector count: "), n.cast("string"))))
     return vectors.agg(checked.alias("n"))

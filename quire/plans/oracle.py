@@ -184,7 +184,7 @@ def _index_blocks_sql(block_size: int = INDEX_BLOCK_SIZE) -> str:
                  "tot AS (SELECT term, count(*) AS n_term FROM h GROUP BY term)",
                  f"""b AS (SELECT h.term, (h.fine * CAST(greatest(1, ceil(tot.n_term / {block_size})) AS BIGINT)) >> 20
                            AS block, h.title FROM h JOIN tot ON h.term = tot.term)""") + """
-SELECT term, block, count(*) AS n, string_agg(DISTINCT title, ',' ORDER BY title) AS titles
+SELECT term, block, count(*) AS n, string_agg(title, ',' ORDER BY title) AS titles
 FROM b GROUP BY term, block
 UNION ALL
 SELECT term, 0, 0, '' FROM vocab WHERE term NOT IN (SELECT term FROM tot)"""

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from quire.functions.checks import must_hold
 from pyspark.sql import types as T
 
 TITLE_DELIMITER = "</title><text>"
@@ -49,9 +51,8 @@ def parse_articles(lines: DataFrame, line_col: str = "value", prefix_len: int =
     title = line.substr(F.lit(prefix_len + 1), pos - F.lit(1 + prefix_len))
     text = line.substr(text_start, F.length(line) - F.lit(suffix_len) - text_start + 1)
     if mode == "strict":
-        title = F.when(ok, title).otherwise(
-            F.raise_error(F.concat(F.lit("malformed article line: "), line.substr(1, 80))))
-        return lines.select(title.alias("title"), text.alias("text"))
+        return must_hold(lines, ok, F.concat(F.lit("malformed article line: "), line.substr(1, 80))).select(
+            title.alias("title"), text.alias("text"))
     checked = lines.select(title.alias("title"), text.alias("text"), line.alias("_line"), ok.alias("_ok"))
     return (checked.where("_ok").select("title", "text"),
             checked.where(~F.col("_ok")).select(F.col("_line").alias(line_col)))
@@ -91,9 +92,8 @@ def parse_postings(lines: DataFrame, line_col: str = "value", mode: str = "stric
         ok = ok & valid
     tag = F.nullif(F.get(arr, 5), F.lit("")).alias("tag")
     if mode == "strict":
-        first = F.when(ok, typed[0]).otherwise(
-            F.raise_error(F.concat(F.lit("malformed posting line: "), line.substr(1, 80))))
-        return lines.select(first.alias(POSTING_FIELDS[0][0]), *typed[1:], tag)
+        return must_hold(lines, ok, F.concat(F.lit("malformed posting line: "), line.substr(1, 80))).select(
+            *typed, tag)
     checked = lines.select(*typed, tag, line.alias("_line"), ok.alias("_ok"))
     good = checked.where(F.col("_ok")).drop("_line", "_ok")
     rejects = checked.where(~F.col("_ok")).select(F.col("_line").alias(line_col))

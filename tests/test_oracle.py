@@ -10,11 +10,12 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry  # noqa: E402
+from quire.plans import catalogue, oracle  # noqa: E402
 from tools.oracle_check import compare, duck  # noqa: E402
 
 SF_DIR = os.environ.get("QUIRE_TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = catalogue.QUERIES
+SQL = oracle.SQL
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +24,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -76,7 +76,7 @@ def test_vector_count_check(spark):
     vec = Po.vector_postings(Po.scored_postings(postings(spark, DATA)), VOCAB)
     assert rows(Po.vector_count(vec)) == [(2,)]
     assert rows(Po.vector_count(vec, expected=2)) == [(2,)]
-    with pytest.raises(Exception, match="Incorrect number of vectors"):
+    with pytest.raises(Exception, match="unexpected vector count"):
         Po.vector_count(vec, expected=3).collect()
 
 
