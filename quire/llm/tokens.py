@@ -2,10 +2,10 @@
 
 BPE never merges across pre-tokens, so a text's ids are those of its
 pre-tokens in order. Texts whose characters all lie in `PLAIN` (where every
-Unicode version agrees on letters, digits, spaces and case) are cut here, into
-pre-tokens or, where none holds white space, into words; each distinct part is
-encoded by the library once per worker and remembered. Any other text goes to
-the library whole. Both ways give the same ids.
+Unicode version agrees on letters, digits, spaces and case) are cut into
+pre-tokens here; each distinct pre-token is encoded by the library once per
+worker and remembered. Any other text goes to the library whole. Both ways
+give the same ids.
 """
 
 from __future__ import annotations
@@ -23,8 +23,9 @@ PLAIN = "\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-ſ‐-‧€"
 LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ"
 MEMO_ENTRIES = 500_000  # about 100 MB a worker
 
-# Fixed value: the byte-level pre-token rules, over PLAIN.
+# The pre-token rules that the tokenizer files state, over PLAIN.
 BYTE_LEVEL = rf" ?[{LETTERS}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+"
+WORD_LEVEL = rf"[{LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\s{LETTERS}0-9]+"
 
 _ENCODERS: dict[str, "Encoder"] = {}
 
@@ -37,12 +38,11 @@ class Encoder:
         for t in (self.tokenizer, self.pieces):
             t.encode_special_tokens = True  # their strings in a text are ordinary text
         self.lower = self.tokenizer.normalizer is not None
-        if self.lower:  # no pre-token of the word-level rules holds white space
+        # pre-tokens are normalised and cut already: only bytes and merges are left to do
+        self.pieces.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        if self.lower:
             self.pieces.normalizer = None
-            self.pretokens = str.split
-        else:  # pre-tokens are cut already: only bytes and merges are left to do
-            self.pieces.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
-            self.pretokens = re.compile(BYTE_LEVEL).findall
+        self.pretokens = re.compile(WORD_LEVEL if self.lower else BYTE_LEVEL).findall
         self.odd = re.compile(f"[^{PLAIN}]").search
         self.memo: dict[str, bytes] = {}
 
