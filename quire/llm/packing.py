@@ -52,11 +52,12 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_le
         encode = encoder(tokenizer_path(tokenizer)).encode
         sequence = TaskContext.get().partitionId() << SEQUENCES_PER_TASK_BITS
         for batch in batches:
+            found = encode(batch.column(1))
             for lo in range(0, batch.num_rows, DOCS_AT_ONCE):
                 part = batch.slice(lo, DOCS_AT_ONCE)
                 rows, starts, lengths, totals, pieces = [], [], [], [], []
-                for row, text in enumerate(part.column(1).to_pylist()):
-                    ids = encode(text) + end
+                for row in range(part.num_rows):
+                    ids = next(found) + end
                     start, total = 0, len(ids) // 4
                     for length in piece_lengths(total, max_len):
                         rows.append(row)

@@ -184,7 +184,7 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_text = encoder(tokenizer_path(tokenizer)).encode
+        encode_texts = encoder(tokenizer_path(tokenizer)).encode
         part, number = TaskContext.get().partitionId(), 0
         doc_ids, pieces, size = [], [], 0
 
@@ -197,9 +197,9 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 ["part", "segment", "n_docs", "n_ids", "data"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode_texts(batch.column(1))):
                 doc_ids.append(doc_id)
-                pieces.append(encode_text(text) + end)
+                pieces.append(ids + end)
                 size += len(pieces[-1]) // 4
                 if size >= SEGMENT_IDS:
                     yield segment()

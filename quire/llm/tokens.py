@@ -2,10 +2,11 @@
 
 BPE never merges across pre-tokens, so a text's ids are those of its
 pre-tokens in order. Texts whose characters all lie in `PLAIN` (where every
-Unicode version agrees on letters, digits, spaces and case) are cut into
-pre-tokens here; each distinct pre-token is encoded by the library once per
-worker and remembered. Any other text goes to the library whole. Both ways
-give the same ids.
+Unicode version agrees on letters, digits, spaces and case) are cut by
+Arrow, many texts at once; each distinct piece is cut into
+pre-tokens here, and each distinct pre-token is encoded by the library and
+remembered by the worker. Any other text goes to the library whole. Both
+ways give the same ids.
 """
 
 from __future__ import annotations
@@ -13,20 +14,34 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import ByteLevel
+from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core
 
-PLAIN = "\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-ſ‐-‧€"
+PLAIN = "\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ſ‐-‧€"
 LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ"
-MEMO_ENTRIES = 500_000  # about 100 MB a worker
+MEMO_ENTRIES = 350_000  # of each of two generations, about 100 MB a worker
+TEXT_BYTES = 1 << 22  # of text whose pieces are looked up together
 
 # The pre-token rules that the tokenizer files state, over PLAIN.
 BYTE_LEVEL = rf" ?[{LETTERS}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+"
 WORD_LEVEL = rf"[{LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\s{LETTERS}0-9]+"
 
+# Where Arrow cuts texts: every piece holds whole pre-tokens. Line breaks go with
+# what follows them, because the rules read a run of them with what follows.
+CUT = "\x01"
+SUFFIXES = "'(?:s|t|re|ve|m|ll|d)"
+WORD_CUTS = rf"{SUFFIXES}|[^\s{LETTERS}0-9]+|[0-9]"
+BYTE_CUTS = (rf"[\t\n\r]*{SUFFIXES}|(?:{CUT} |[\t\n\r]+)?[^\s{LETTERS}0-9{CUT}]+"
+             rf"|(?:{CUT} |[\t\n\r]+)?[0-9]+")
+
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -39,31 +54,85 @@ class Encoder:
             t.encode_special_tokens = True  # their strings in a text are ordinary text
         self.lower = self.tokenizer.normalizer is not None
         # pre-tokens are normalised and cut already: only bytes and merges are left to do
-        self.pieces.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.pieces.pre_tokenizer = Sequence([Split(CUT, "isolated"), ByteLevel(add_prefix_space=False, use_regex=False)])
         if self.lower:
             self.pieces.normalizer = None
+        (self.cut,) = self.pieces.encode(CUT, add_special_tokens=False).ids
         self.pretokens = re.compile(WORD_LEVEL if self.lower else BYTE_LEVEL).findall
-        self.odd = re.compile(f"[^{PLAIN}]").search
         self.memo: dict[str, bytes] = {}
-
-    @staticmethod
-    def _ids(tokenizer: Tokenizer, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, text: str | None) -> bytes:
-        """The ids of a text; a null text has none."""
-        if not text:
-            return b""
-        if self.odd(text):
-            return self._ids(self.tokenizer, [text])[0]
-        words = self.pretokens(text.lower() if self.lower else text)
-        new = list(set(words).difference(self.memo))
+        self.older: dict[str, bytes] = {}
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of each pre-token: one call for all, cut again at `CUT`'s id."""
+        found = self.pieces.encode_batch_fast([CUT.join(words)], add_special_tokens=False)[0]
+        ids = np.array(found.ids, "<u4")
+        raw, ends = ids.tobytes(), (4 * np.flatnonzero(ids == self.cut)).tolist()
+        return [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(raw)])]
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces of texts, each cut and encoded on its own."""
+        if len(self.memo) > MEMO_ENTRIES:  # words unseen for a generation are forgotten
+            self.memo, self.older = {}, self.memo
+        memo, older = self.memo, self.older
+        found = list(map(memo.get, pieces))
+        open_ = [i for i, ids in enumerate(found) if ids is None]
+        cut = [self.pretokens(pieces[i]) for i in open_]
+        words = [w for w in set(chain.from_iterable(cut)) if w not in memo]
+        memo.update((w, older[w]) for w in words if w in older)
+        new = [w for w in words if w not in memo]
         if new:
-            if len(self.memo) > MEMO_ENTRIES:
-                self.memo.clear()
-                new = list(set(words))
-            self.memo.update(zip(new, self._ids(self.pieces, new)))
-        return b"".join(map(self.memo.__getitem__, words))
+            memo.update(zip(new, self._words(new)))
+        for i, parts in zip(open_, cut):
+            found[i] = memo[parts[0]] if len(parts) == 1 else b"".join(map(memo.__getitem__, parts))
+        return found
+
+    def _plain(self, texts: pa.Array) -> list[bytes]:
+        """The ids of plain texts: cut at spaces, digits and punctuation, one
+        look at each distinct piece, and the pieces' ids gathered in text order."""
+        if self.lower:
+            split = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(texts), WORD_CUTS, r" \0 "))
+        else:
+            spaced = pc.replace_substring(texts, " ", CUT + " ")
+            split = pc.split_pattern(pc.replace_substring_regex(spaced, BYTE_CUTS, rf"{CUT}\0{CUT}"), CUT)
+        offsets = np.asarray(split.offsets)
+        offsets = offsets - offsets[0]
+        coded = split.flatten().dictionary_encode()
+        code, ids = np.asarray(coded.indices), self._pieces(coded.dictionary.to_pylist())
+        # fewer ids than bytes of text, which an Arrow array counts in 32 bits
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        flat, begins = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes, dtype=np.int32) - sizes
+        n = sizes[code]
+        ends = np.zeros(len(code) + 1, np.int32)
+        np.cumsum(n, out=ends[1:])
+        at = np.repeat(begins[code] - ends[:-1], n)
+        at += np.arange(len(at), dtype=np.int32)
+        raw = flat[at].tobytes()
+        cuts = (4 * ends[offsets].astype(np.int64)).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text in turn; a null text has none. About
+        `TEXT_BYTES` of text are in work at a time."""
+        texts = pc.fill_null(texts, "")
+        total = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        lo = 0
+        while lo < len(texts):
+            before = total[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(total, before + TEXT_BYTES, "right")))
+            yield from self._some(texts.slice(lo, hi - lo))
+            lo = hi
+
+    def _some(self, texts: pa.Array) -> list[bytes]:
+        odd = pc.match_substring_regex(texts, f"[^{PLAIN}]")
+        if not self.lower:  # a space beside other white space doesn't begin a pre-token
+            odd = pc.or_(odd, pc.match_substring_regex(texts, r" (?:\s|$)|[\t\n\r] "))
+        odd = odd.to_numpy(zero_copy_only=False)
+        if not odd.any():
+            return self._plain(texts)
+        plain = iter(self._plain(texts.filter(pa.array(~odd))))
+        whole = self.tokenizer.encode_batch_fast(texts.filter(pa.array(odd)).to_pylist(), add_special_tokens=False)
+        whole = iter([array("I", e.ids).tobytes() for e in whole])
+        return [next(whole) if o else next(plain) for o in odd.tolist()]
 
 
 def encoder(path: str) -> Encoder:

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import xxhash
@@ -13,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from quire.llm import lines, mixing, simple8b, webtext, wordpiece
+from quire.llm import lines, mixing, simple8b, tokens, webtext, wordpiece
 from quire.llm.common import components
 from quire.llm.queries import QUERIES
 from quire.llm.tokens import PLAIN, encoder, tokenizer_path
@@ -76,21 +77,34 @@ def test_token_files(spark, docs):
     assert sorted(tuple(r.values()) for r in result(spark, "op7_simple8b_ids")) == want
 
 
+def whole_texts(t, texts):
+    return [np.array(t.tokenizer.encode(x or "", add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 @settings(max_examples=300, deadline=None)
-@given(text=st.text(st.one_of(st.sampled_from(" \n\t'sStTrRvVeElL1²İſéÉ<|>."), st.characters(codec="utf-8")), max_size=40))
+@given(text=st.text(st.one_of(st.sampled_from("  \n\n\t\x01!'sStTrRvVeElL1²İſéÉ<|>."), st.characters(codec="utf-8")), max_size=40))
 def test_ids_equal_the_librarys(name, text):
     t = encoder(tokenizer_path(name))
-    assert t.encode(text) == np.array(t.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    texts = [text, "a b", None, text + " b", "", f"b {text}"]
+    assert list(t.encode(pa.array(texts))) == whole_texts(t, texts)
 
 
 def test_plain_characters_one_by_one():
     every = [chr(c) for c in range(0x2100) if re.fullmatch(f"[{PLAIN}]", chr(c))]
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         t = encoder(tokenizer_path(name))
-        for c in every:
-            text = f"a{c}b {c}{c} 1{c}2 '{c}"
-            assert t.encode(text) == np.array(t.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        texts = [f"a{c}b {c}{c} 1{c}2 '{c}" for c in every]
+        assert list(t.encode(pa.array(texts))) == whole_texts(t, texts)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_when_words_are_forgotten(name, docs, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_ENTRIES", 50)
+    monkeypatch.setattr(tokens, "TEXT_BYTES", 5000)
+    t = tokens.Encoder(tokenizer_path(name))
+    texts = [docs[k]["text"] for k in sorted(docs)]
+    assert list(t.encode(pa.array(texts, pa.string()))) == whole_texts(t, texts)
 
 
 @settings(max_examples=100, deadline=None)
