@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Hard bound on the vocabulary. It travels inside the plan as a literal
@@ -56,6 +56,11 @@ def vocab_array(vocab: Sequence[str]) -> Column:
     return F.expr(vocab_array_sql(vocab))
 
 
+def vocab_rows(spark: SparkSession, vocab: Sequence[str]) -> DataFrame:
+    """(term): a row per vocabulary term, from a literal of the plan."""
+    return spark.range(0, 1, 1, 1).select(F.explode(vocab_array(vocab)).alias("term"))
+
+
 def term_index(value: Column | str, vocab: Sequence[str]) -> Column:
     """0-based position of the whole `value` in the ordered vocabulary,
     -1 when absent, null when `value` is null."""

@@ -12,17 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.geometry import int_div
 from quire.functions.hashing import md5_prefix32
-from quire.functions.text import check_vocab, mentions, sql_string, term_index, tokens, vocab_array
+from quire.functions.text import check_vocab, mentions, sql_string, term_index, tokens, vocab_array, vocab_rows
 from quire.operators.common import sort_bounded
 from quire.session import ensure_checkpoint_dir
 
-# Fine hash buckets per term in the first stage of `inverted_index_blocks`
-# (2^FINE_BITS). A term's titles are spread over at most this many groups
-# before blocks are cut, so no single group holds a whole posting list.
-FINE_BITS = 20
-
-
 def mentions_filter(articles: DataFrame, term: str) -> DataFrame:
     """Articles whose text mentions `term`."""
     (term,) = check_vocab([term])
@@ -53,8 +48,7 @@ def _zero_filled_counts(keyed: DataFrame, vocab: Sequence[str]) -> DataFrame:
     """Count rows per term of `keyed` (a `term` column), keeping terms with
     no rows as 0. The vocabulary is unioned in as one zero-weight row per
     term, so the result is a single partial/final aggregate — no join."""
-    spark = keyed.sparkSession
-    zeros = spark.createDataFrame([(t, 0) for t in vocab], "term string, w int")
+    zeros = vocab_rows(keyed.sparkSession, vocab).select("term", F.lit(0).alias("w"))
     ones = keyed.select("term", F.lit(1).alias("w"))
     return ones.unionByName(zeros).groupBy("term").agg(F.sum("w").cast("bigint").alias("n"))
 
@@ -107,13 +101,15 @@ def inverted_index_blocks(index: DataFrame, vocab: Sequence[str], block_size: in
 
     Each term's postings are cut into ceil(n_term / block_size) blocks by a
     hash of the title, so a block holds about `block_size` postings however
-    hot the term is. Per block: `titles` is the sorted array of its titles,
-    copies included, and `n` their number; per term,
-    repeated on each of its blocks: `n_term` postings and `n_titles`
-    distinct titles. A term without postings gets one row (block 0, zeros,
-    no titles).
-
-    Plan: stage 1 groups (term, fine hash bucket); no group holds more than 2^-20 of a term.
+    hot the term is. The copies of one title go by the same hash in runs of
+    at most block_size / 16, each run after the first to a block of its own
+    hash, so neither does a title with very many copies fill one block. Per
+    block: `titles` is the sorted array of its titles, copies included, and
+    `n` their number; per term, repeated on each of its blocks: `n_term`
+    postings and `n_titles` distinct titles (a null title counts as one). A
+    term without postings gets one row (block 0, zeros, no titles).
+
+    Plan: stage 1 counts (term, title), copies combined before the shuffle.
     With `materialize` it is checkpointed into `spark.checkpoint.dir`: the
     text is scanned once (one job runs here) and the per-term totals, the
     block cut and the empty-term rows all read the checkpoint. Without it
@@ -123,22 +119,28 @@ def inverted_index_blocks(index: DataFrame, vocab: Sequence[str], block_size: in
     vocab = check_vocab(vocab)
     if block_size < 1:
         raise ValueError("block_size must be positive")
+    run_size = F.lit(max(1, block_size // 16)).cast("bigint")
     index = index.where(F.col("term").isin(vocab))  # keeps the broadcast totals within |vocab| rows
-    fine = index.groupBy("term", F.shiftright(md5_prefix32("title"), 32 - FINE_BITS).alias("fine")).agg(
-        F.count(F.lit(1)).alias("n"), F.collect_list("title").alias("titles"))
+    counted = index.groupBy("term", "title").agg(F.count(F.lit(1)).alias("copies"))
     if materialize:
         ensure_checkpoint_dir(index.sparkSession)
-        fine = fine.checkpoint(eager=True)
-    totals = F.broadcast(fine.groupBy("term").agg(
-        F.sum("n").alias("n_term"), F.sum(F.size(F.array_distinct("titles"))).alias("n_titles")))
-    nblocks = F.greatest(F.lit(1), F.ceil(F.col("n_term") / F.lit(block_size))).cast("bigint")
-    blocks = (fine.join(totals, "term")
-              .withColumn("block", F.shiftright(F.col("fine") * nblocks, FINE_BITS))
+        counted = counted.checkpoint(eager=True)
+    totals = F.broadcast(counted.groupBy("term").agg(
+        F.sum("copies").alias("n_term"), F.count(F.lit(1)).alias("n_titles")))
+    nblocks = F.ceil(F.col("n_term") / F.lit(block_size)).cast("bigint")
+    key = F.concat(F.coalesce("title", F.lit("")), F.when(F.col("run") > 0, F.concat(F.lit("#"), "run")).otherwise(""))
+    in_run = F.least(run_size, F.col("copies") - F.col("run") * run_size)
+    last_run = int_div(F.col("copies") - F.lit(1), run_size)
+    blocks = (counted.join(totals, "term")
+              .withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)))
+              .withColumn("block", F.shiftright(md5_prefix32(key) * nblocks, 32))
+              .withColumn("in_run", in_run)
               .groupBy("term", "block")
-              .agg(F.sum("n").alias("n"), F.array_sort(F.flatten(F.collect_list("titles"))).alias("titles"),
+              .agg(F.sum("in_run").alias("n"),
+                   F.array_sort(F.flatten(F.collect_list(F.array_repeat("title", F.col("in_run").cast("int")))))
+                   .alias("titles"),
                    F.first("n_term").alias("n_term"), F.first("n_titles").alias("n_titles")))
-    vocab_df = index.sparkSession.createDataFrame([(t,) for t in vocab], "term string")
-    empty = (vocab_df.join(totals, "term", "left_anti")
+    empty = (vocab_rows(index.sparkSession, vocab).join(totals, "term", "left_anti")
              .select("term", F.lit(0).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("n"),
                      F.array().cast("array<string>").alias("titles"),
                      F.lit(0).cast("bigint").alias("n_term"), F.lit(0).cast("bigint").alias("n_titles")))

@@ -37,26 +37,12 @@ def weighted_points(vectors: DataFrame, compact: bool = True) -> DataFrame:
     return vectors.select("x", "y", F.lit(1).cast("bigint").alias("w"))
 
 
-# Weighted points per task in the k-means rounds: 2M rows of three longs is
-# about 48 MB. Fewer points than that sit in one partition, and a round is
-# then a single stage (the per-centre aggregate needs no exchange).
-POINTS_PER_TASK = 2_000_000
-
-
-def materialize(df: DataFrame, rows_per_task: int | None = POINTS_PER_TASK) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into `spark.checkpoint.dir`: computed once now,
-    read back by every later use, lineage cut (survives executor loss).
-
-    With `rows_per_task`, the checkpoint is counted (a scan of the written
-    files) and read back in ceil(rows / rows_per_task) partitions, so a
-    small point set is not spread over many near-empty tasks while a large
-    one keeps its parallelism."""
+    read back by every later use, lineage cut (survives executor loss). Its
+    partitions are those that AQE makes of the last shuffle."""
     ensure_checkpoint_dir(df.sparkSession)
-    out = df.checkpoint(eager=True)
-    if rows_per_task:
-        n = out.count()
-        out = out.coalesce(max(1, -(-n // rows_per_task)))
-    return out
+    return df.checkpoint(eager=True)
 
 
 def distinct_vectors(vectors: DataFrame) -> DataFrame:
@@ -160,8 +146,8 @@ def _centroids(points: DataFrame, centers: Centers) -> DataFrame:
 def kmeans_step(points: DataFrame, centers: Centers) -> DataFrame:
     """One update: (center_id, x, y) new centres; an empty cluster keeps its
     old centre."""
-    spark = points.sparkSession
-    old = spark.createDataFrame(centers, "center_id int, x bigint, y bigint")
+    rows = ", ".join(f"named_struct('center_id', {int(c)}, 'x', {int(x)}L, 'y', {int(y)}L)" for c, x, y in centers)
+    old = points.sparkSession.range(0, 1, 1, 1).select(F.expr(f"inline(array({rows}))"))
     new = _centroids(points, centers)
     return (old.join(new.select("center_id", F.col("x").alias("nx"), F.col("y").alias("ny")), "center_id", "left")
             .select("center_id", F.coalesce("nx", "x").alias("x"), F.coalesce("ny", "y").alias("y")))

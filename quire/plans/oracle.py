@@ -179,10 +179,13 @@ _INDEX = f"""idx AS (SELECT v.term, a.title FROM vocab v JOIN v_articles a ON {_
 
 
 def _index_blocks_sql(block_size: int = INDEX_BLOCK_SIZE) -> str:
+    run = max(1, block_size // 16)  # copies of a title that go by one hash
     return with_(V_ARTICLES, vocab_cte(ARTICLE_VOCAB), _INDEX,
-                 "h AS (SELECT term, title, ('0x' || substr(md5(title), 1, 8))::BIGINT >> 12 AS fine FROM idx)",
+                 f"r AS (SELECT term, title, (row_number() OVER (PARTITION BY term, title) - 1) // {run} AS run FROM idx)",
+                 """h AS (SELECT term, title, ('0x' || substr(md5(title || CASE WHEN run > 0 THEN '#' || run ELSE '' END),
+                           1, 8))::BIGINT AS hash FROM r)""",
                  "tot AS (SELECT term, count(*) AS n_term FROM h GROUP BY term)",
-                 f"""b AS (SELECT h.term, (h.fine * CAST(greatest(1, ceil(tot.n_term / {block_size})) AS BIGINT)) >> 20
+                 f"""b AS (SELECT h.term, (h.hash * CAST(ceil(tot.n_term / {block_size}) AS BIGINT)) >> 32
                            AS block, h.title FROM h JOIN tot ON h.term = tot.term)""") + """
 SELECT term, block, count(*) AS n, string_agg(title, ',' ORDER BY title) AS titles
 FROM b GROUP BY term, block

@@ -78,9 +78,14 @@ def cluster_postings(spark: SparkSession, path: str, vocab: Sequence[str] = LANG
     return summary
 
 
-def summarise_time_use(spark: SparkSession, path: str) -> DataFrame:
-    """Wide survey CSV -> grouped mean hours per (working, sex, age), shown."""
-    _, df = csv_source.read_csv(spark, path)
+def summarise_time_use(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
+    """Wide survey CSV -> grouped mean hours per (working, sex, age), shown.
+
+    The schema is made from the header line (first column text, the others
+    numbers), so the file is read once; with `infer` Spark infers the types
+    in a pass of its own."""
+    schema = None if infer else csv_source.row_schema(csv_source.header(spark, path))
+    _, df = csv_source.read_csv(spark, path, schema)
     grouped = timeuse.time_usage_grouped(timeuse.time_usage_summary(df))
     grouped.show()
     return grouped

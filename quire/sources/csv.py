@@ -21,6 +21,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return list(df.columns), df
 
 
+def header(spark: SparkSession, path: str) -> list[str]:
+    """The column names of a CSV file; reads its first line only."""
+    return spark.read.option("header", "true").csv(path).columns
+
+
 def row_schema(columns: list[str]) -> T.StructType:
     """First column string, every other column double."""
     if not columns:

@@ -60,13 +60,19 @@ def test_posting_blocks_scan_text_once(spark):
     assert "FileScan" not in executed(blocks)  # everything after the checkpoint reads it
 
 
-def test_small_point_sets_round_without_exchange(spark):
-    vec = catalogue.vectors(spark, SF)
-    points = clustering.materialize(clustering.weighted_points(vec))
-    centers = clustering.collect_centers(clustering.sample_vectors(points, len(P.POSTING_VOCAB), P.KERNELS))
-    plan = executed(clustering._centroids(points, centers))
-    assert "Exchange" not in plan
-    assert "*(" in plan  # whole-stage codegen
+def test_rounds_keep_the_points_partitions(spark):
+    # no size at which the rounds move to one task
+    points = spark.range(0, 4000, 1, 4).selectExpr("id % 7 x", "id y", "1L w")
+    points = clustering.materialize(points)
+    assert points.rdd.getNumPartitions() == 4
+    plan = executed(clustering._centroids(points, [(0, 0, 0), (1, 5, 900)]))
+    assert "Coalesce" not in plan and "*(" in plan  # whole-stage codegen
+
+
+def test_small_frames_are_literals_of_the_plan(spark):
+    points = clustering.materialize(spark.createDataFrame([(0, 1, 2)], "x long, y long, w long"))
+    plan = executed(clustering.kmeans_step(points, [(0, 0, 1), (1, 0, 5)]))
+    assert plan.split("Initial Plan")[-1].count("Scan ExistingRDD") == 1  # the points only
 
 
 def test_kmeans_rounds_read_the_checkpoint_only(spark):

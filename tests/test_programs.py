@@ -42,6 +42,23 @@ def test_summarise_time_use(spark, tmp_path, capsys):
     assert got == [("not working", "female", "young", 8.3, 0.0, 6.7), ("working", "male", "active", 10.0, 8.0, 2.0)]
 
 
+def test_survey_types_by_header_or_inferred(spark, tmp_path):
+    p = tmp_path / "survey.csv"
+    p.write_text("tucaseid,telfs,tesex,teage,t010101,t050101,t020101\n01,1,1,30,600,480,120\n03,3,2,20,500,0,400\n")
+    plain, inferred = (sorted(programs.summarise_time_use(spark, str(p), infer).collect()) for infer in (False, True))
+    assert plain == inferred and len(plain) == 2
+
+
+def test_command_line_parameters(spark, tmp_path, monkeypatch):
+    from quire import __main__ as cli
+    seen = {}
+    monkeypatch.setattr(cli.programs, "cluster_postings", lambda s, path, *a, **k: seen.update(args=a, **k))
+    monkeypatch.setattr(type(spark), "stop", lambda s: None)
+    cli.main(["postings", str(tmp_path), "--vocab", "Java,Scala", "--spread", "700", "--kernels", "4", "--eta", "2.5",
+              "--max-iterations", "9", "--expected", "11"])
+    assert seen == {"args": (["Java", "Scala"], 700, 4, 2.5, 9), "expected_vectors": 11}
+
+
 def test_cluster_postings_checks_expected_count(spark, tmp_path):
     import pytest
     p = tmp_path / "postings.csv"

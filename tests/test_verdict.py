@@ -55,3 +55,26 @@ def test_index_blocks_keep_copies(spark):
     index = spark.createDataFrame([("java", "a"), ("java", "a"), ("java", "b")], "term string, title string")
     (row,) = articles.inverted_index_blocks(index, ["java"]).collect()
     assert (row["n"], row["titles"], row["n_titles"]) == (3, ["a", "a", "b"], 2)
+
+
+def test_index_blocks_of_a_title_with_many_copies(spark):
+    index = spark.range(5000).selectExpr("'java' term", "if(id < 4000, 'a', concat('t', id)) title")
+    found = articles.inverted_index_blocks(index, ["java"], 100).collect()
+    assert all(r["n"] == len(r["titles"]) <= 200 for r in found)
+    assert max(r["block"] for r in found) == 49 and {r["n_titles"] for r in found} == {1001}
+    titles = sorted(t for r in found for t in r["titles"])
+    assert titles == sorted(["a"] * 4000 + [f"t{i}" for i in range(4000, 5000)])
+
+
+def test_index_blocks_past_the_old_grid(spark):
+    # one posting a block: 2^20 blocks were the most before, and neighbours fell together
+    index = spark.range(1 << 21).selectExpr("'java' term", "cast(id as string) title")
+    blocks = articles.inverted_index_blocks(index, ["java"], 1)
+    top = blocks.selectExpr("max(n) most", "max(block) last", "sum(n) n").first()
+    assert top["n"] == 1 << 21 and top["most"] <= 16 and (1 << 20) < top["last"] < (1 << 21)
+
+
+def test_index_blocks_keep_null_titles(spark):
+    index = spark.createDataFrame([("java", None), ("java", None), ("java", "b")], "term string, title string")
+    (row,) = articles.inverted_index_blocks(index, ["java"]).collect()
+    assert (row["n"], len(row["titles"]), row["n_titles"]) == (3, 3, 2)
