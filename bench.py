@@ -45,9 +45,15 @@ def headline(spark, sf_dir):
         "rank_terms_using_index": lambda: _collect(
             articles.rank_terms_using_index(articles.inverted_index(art(), P.ARTICLE_VOCAB), P.ARTICLE_VOCAB)),
         "inverted_index_arrays": lambda: _collect(catalogue.inverted_index_arrays(spark, sf_dir)),
+        "inverted_index": lambda: _collect(catalogue.inverted_index(spark, sf_dir)),
+        "rank_terms_from_lines": lambda: _collect(catalogue.rank_terms_from_lines(spark, sf_dir)),
+        "scored_postings_from_lines": lambda: _collect(catalogue.scored_postings_from_lines(spark, sf_dir)),
+        "grouped_postings": lambda: _collect(catalogue.grouped_postings(spark, sf_dir)),
+        "grouped_posting_blocks": lambda: _collect(catalogue.grouped_posting_blocks(spark, sf_dir)),
         "scored_postings": lambda: _collect(catalogue.scored_postings(spark, sf_dir)),
         "kmeans": lambda: _kmeans(spark, sf_dir, compact=True),
         "kmeans_uncompacted": lambda: _kmeans(spark, sf_dir, compact=False),
+        "kmeans_45": lambda: catalogue.run_kmeans_45(spark, sf_dir).centers,
         "cluster_results": lambda: _collect(catalogue.cluster_results(spark, sf_dir)),
         "time_usage_grouped": lambda: _collect(catalogue.time_usage_grouped(spark, sf_dir)),
         "time_usage_grouped_sql": lambda: _collect(catalogue.time_usage_grouped_sql(spark, sf_dir)),

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.geometry import int_div
+from quire.functions.hashing import md5_prefix32
 from quire.functions.text import check_vocab, term_index
 
 QUESTION, ANSWER = 1, 2
@@ -48,6 +50,42 @@ def grouped_postings(postings: DataFrame, salt: int = 0) -> DataFrame:
                     *[F.col(f"a_{c}") for c in postings.columns]))
 
 
+def grouped_posting_blocks(postings: DataFrame, block_size: int = 10_000, salt: int = 32) -> DataFrame:
+    """The answers of each question in bounded blocks: (qid, block, n, n_answers, answers).
+
+    A question with n_answers answers has ceil(n_answers / block_size)
+    blocks; an answer's block goes by a hash of its id and score and its
+    number among equal ones in runs of block_size, so a block holds about
+    `block_size` answers however hot the question is. `answers` is the
+    sorted array of (id, score), copies included, and `n` their number.
+    Unanswered questions and answers without a question drop out; a repeated
+    question id yields its blocks once.
+
+    Equal answers are counted before the shuffle, and the questions' totals
+    reach the answers over (id, salt), the totals `salt` times, so a hot
+    question's answers spread over `salt` tasks without AQE.
+    """
+    if block_size < 1 or salt < 1:
+        raise ValueError("block_size and salt must be positive")
+    size = F.lit(block_size).cast("bigint")
+    a = (answers(postings).where(F.col("parent_id").isNotNull())
+         .groupBy(F.col("parent_id").alias("qid"), "id", "score").agg(F.count(F.lit(1)).alias("copies")))
+    totals = a.groupBy("qid").agg(F.sum("copies").alias("n_answers"))
+    asked = questions(postings).select(F.col("id").alias("qid")).distinct().join(totals, "qid")
+    asked = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    a = a.withColumn("salt", F.pmod(F.xxhash64("id", "score"), F.lit(salt)).cast("int"))
+    nblocks = F.ceil(F.col("n_answers") / size).cast("bigint")
+    key = F.concat_ws(":", "id", "score", "run")
+    return (a.join(asked, ["qid", "salt"])
+            .withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), int_div(F.col("copies") - F.lit(1), size))))
+            .withColumn("in_run", F.least(size, F.col("copies") - F.col("run") * size))
+            .withColumn("block", F.shiftright(md5_prefix32(key) * nblocks, 32))
+            .groupBy("qid", "block")
+            .agg(F.sum("in_run").alias("n"), F.first("n_answers").alias("n_answers"),
+                 F.array_sort(F.flatten(F.collect_list(
+                     F.array_repeat(F.struct("id", "score"), F.col("in_run").cast("int"))))).alias("answers")))
+
+
 def scored_postings(postings: DataFrame, unique_ids: bool = True) -> DataFrame:
     """Every answered question with `high_score`: the best answer score,
     floored at 0.

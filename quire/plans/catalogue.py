@@ -112,9 +112,15 @@ def scored_postings_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.scored_postings(parse_postings(spark, sf_dir)).select("id", "tag", "high_score")
 
 
-def vectors(spark: SparkSession, sf_dir: str, spread: int = P.SPREAD) -> DataFrame:
+def grouped_posting_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = postings.grouped_posting_blocks(tables.postings_view(spark, sf_dir), P.ANSWER_BLOCK_SIZE)
+    pairs = F.transform("answers", lambda a: F.concat_ws(":", a["id"], a["score"]))
+    return blocks.select("qid", "block", "n", "n_answers", F.array_join(pairs, ",").alias("answers"))
+
+
+def vectors(spark: SparkSession, sf_dir: str, spread: int = P.SPREAD, vocab: list[str] = P.POSTING_VOCAB) -> DataFrame:
     scored = postings.scored_postings(tables.postings_view(spark, sf_dir))
-    return postings.vector_postings(scored, P.POSTING_VOCAB, spread)
+    return postings.vector_postings(scored, vocab, spread)
 
 
 def vector_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,6 +186,18 @@ def kmeans_trace_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_kmeans(spark, sf_dir)[1].trace_frame(spark)
 
 
+def run_kmeans_45(spark: SparkSession, sf_dir: str):
+    """K-means at the posting program's own size, over all tags."""
+    points = clustering.materialize(clustering.weighted_points(vectors(spark, sf_dir, vocab=P.ALL_TAGS)))
+    centers = clustering.collect_centers(
+        clustering.initial_centers(points, P.ALL_TAGS, P.SPREAD, P.ALL_KERNELS, P.SEED))
+    return clustering.kmeans(points, centers, P.ETA, P.MAX_ITERATIONS, checkpoint=False)
+
+
+def kmeans_45(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_kmeans_45(spark, sf_dir).centers_frame(spark)
+
+
 def kmeans_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_kmeans(spark, sf_dir, P.MIXED_SPREAD)[1].centers_frame(spark)
 
@@ -214,6 +232,7 @@ QUERIES: dict[str, Plan] = {
     "rank_terms_from_lines": rank_terms_from_lines,
     "parse_postings": parse_postings,
     "grouped_postings": grouped_postings,
+    "grouped_posting_blocks": grouped_posting_blocks,
     "scored_postings": scored_postings,
     "scored_postings_from_lines": scored_postings_from_lines,
     "vector_postings": vectors,
@@ -228,6 +247,7 @@ QUERIES: dict[str, Plan] = {
     "kmeans_uncompacted": kmeans_uncompacted,
     "kmeans_trace_centers": kmeans_trace_centers,
     "kmeans_mixed": kmeans_mixed,
+    "kmeans_45": kmeans_45,
     "cluster_results": cluster_results,
     "cluster_report": cluster_report,
     "cluster_results_mixed": cluster_results_mixed,

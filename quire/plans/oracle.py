@@ -3,7 +3,7 @@ base tables only: every input view is inlined as a CTE."""
 
 from __future__ import annotations
 
-from quire.plans.params import (ARTICLE_VOCAB, ETA, INDEX_BLOCK_SIZE, KERNELS, MAX_ITERATIONS,
+from quire.plans.params import (ALL_KERNELS, ALL_TAGS, ANSWER_BLOCK_SIZE, ARTICLE_VOCAB, ETA, INDEX_BLOCK_SIZE, KERNELS, MAX_ITERATIONS,
                                 MENTION_TERM, MIXED_SPREAD, POSTING_VOCAB, SEED, SPREAD)
 from quire.sources.tables import WIDE_MINUTE_COLUMNS
 
@@ -45,9 +45,9 @@ V_SCORED = """v_scored AS (
   GROUP BY q.id, q.tag)"""
 
 
-def v_vectors(spread: int = 50000, name: str = "v_vectors") -> str:
-    cases = " ".join(f"WHEN '{t}' THEN {i}" for i, t in enumerate(POSTING_VOCAB))
-    tags = ", ".join(f"'{t}'" for t in POSTING_VOCAB)
+def v_vectors(spread: int = 50000, name: str = "v_vectors", vocab: list[str] = POSTING_VOCAB) -> str:
+    cases = " ".join(f"WHEN '{t}' THEN {i}" for i, t in enumerate(vocab))
+    tags = ", ".join(f"'{t}'" for t in vocab)
     return f"""{name} AS (
   SELECT CAST(CASE tag {cases} END AS BIGINT) * {spread} AS x,
          CAST(high_score AS BIGINT) AS y, id
@@ -223,6 +223,16 @@ POSTING_SQL = {
        CAST(s[2] AS BIGINT) AS id, CAST(nullif(s[3], '') AS BIGINT) AS accepted_answer,
        CAST(nullif(s[4], '') AS BIGINT) AS parent_id, CAST(s[5] AS INT) AS score, nullif(s[6], '') AS tag
 FROM (SELECT string_split(line, ',') AS s FROM v_posting_lines) t""",
+    "grouped_posting_blocks": with_(
+        V_POSTINGS,
+        f"""r AS (SELECT parent_id AS qid, id, score,
+              (row_number() OVER (PARTITION BY parent_id, id, score) - 1) // {ANSWER_BLOCK_SIZE} AS run
+              FROM v_postings WHERE posting_type = 2 AND parent_id IN (SELECT id FROM v_postings WHERE posting_type = 1))""",
+        f"""b AS (SELECT *, (('0x' || substr(md5(concat_ws(':', id, score, run)), 1, 8))::BIGINT
+              * CAST(ceil(count(*) OVER (PARTITION BY qid) / {ANSWER_BLOCK_SIZE}) AS BIGINT)) >> 32 AS block,
+              count(*) OVER (PARTITION BY qid) AS n_answers FROM r)""") + """SELECT qid, block, count(*) AS n, any_value(n_answers) AS n_answers,
+       string_agg(concat_ws(':', id, score), ',' ORDER BY id, score) AS answers
+FROM b GROUP BY qid, block""",
     "grouped_postings": with_(V_POSTINGS) + """SELECT q.id AS qid, q.tag AS tag, a.id AS answer_id, a.score AS score
 FROM v_postings q JOIN v_postings a ON a.parent_id = q.id
 WHERE q.posting_type = 1 AND a.posting_type = 2""",
@@ -313,6 +323,9 @@ POSTING_SQL["scored_postings_from_lines"] = (
 
 _KM_MIXED = with_(V_POSTINGS, V_SCORED, v_vectors(MIXED_SPREAD), _GLOBAL_CENTERS, kmeans_cte(ETA, MAX_ITERATIONS),
                   recursive=True)
+CLUSTER_SQL["kmeans_45"] = with_(
+    V_POSTINGS, V_SCORED, v_vectors(SPREAD, vocab=ALL_TAGS), v_centers(ALL_KERNELS // len(ALL_TAGS), SEED),
+    kmeans_cte(ETA, MAX_ITERATIONS), recursive=True) + "SELECT center_id, x, y FROM final"
 CLUSTER_SQL["kmeans_uncompacted"] = CLUSTER_SQL["kmeans"]
 CLUSTER_SQL["kmeans_mixed"] = _KM_MIXED + "SELECT center_id, x, y FROM final"
 CLUSTER_SQL["kmeans_trace_centers"] = _KM + """SELECT b.it AS iteration, b.i AS center_id, a.x, a.y,

@@ -16,3 +16,10 @@ KERNELS = 12
 ETA = 20.0
 MAX_ITERATIONS = 120
 SEED = 42
+
+# The posting program's own size: 45 centres, here nine for each of five tags.
+ALL_TAGS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+ALL_KERNELS = 45
+
+# Answers in a block of `grouped_posting_blocks`.
+ANSWER_BLOCK_SIZE = 2

@@ -6,7 +6,7 @@ import pytest
 
 from quire.functions import nearest_center
 from quire.functions.geometry import UNROLLED
-from quire.operators import articles, clustering
+from quire.operators import articles, clustering, postings
 from quire.sources.lines import parse_articles, parse_postings
 
 GOOD_LINE = "12345678901234A</title><text>Java Scala1234567890123456"
@@ -78,3 +78,14 @@ def test_index_blocks_keep_null_titles(spark):
     index = spark.createDataFrame([("java", None), ("java", None), ("java", "b")], "term string, title string")
     (row,) = articles.inverted_index_blocks(index, ["java"]).collect()
     assert (row["n"], len(row["titles"]), row["n_titles"]) == (3, 3, 2)
+
+
+def test_answer_blocks_of_a_hot_question(spark):
+    posts = spark.range(2100).selectExpr(
+        "int(if(id < 2, 1, 2)) posting_type", "if(id >= 2000, 2000, id) id", "cast(null as bigint) accepted_answer",
+        "if(id < 2, null, if(id < 2090, 0, 7)) parent_id", "int(id % 5) * 0 score", "'Java' tag")
+    found = postings.grouped_posting_blocks(posts, 50, salt=4).collect()
+    assert {(r["qid"], r["n_answers"]) for r in found} == {(0, 2088)}  # 1 is unanswered, 7 is no question
+    assert all(r["n"] == len(r["answers"]) <= 150 for r in found) and len(found) > 30
+    got = sorted((a["id"], a["score"]) for r in found for a in r["answers"])
+    assert got == sorted((min(i, 2000), 0) for i in range(2, 2090))
