@@ -15,6 +15,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -29,6 +30,7 @@ PLAIN = "\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ſ‐-‧€"
 LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ"
 MEMO_ENTRIES = 350_000  # of each of two generations, about 100 MB a worker
 TEXT_BYTES = 1 << 22  # of text whose pieces are looked up together
+WORDS_AT_ONCE = 10_000  # unseen words in one call of the library
 
 # The pre-token rules that the tokenizer files state, over PLAIN.
 BYTE_LEVEL = rf" ?[{LETTERS}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+"
@@ -49,10 +51,8 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
-        self.tokenizer, self.pieces = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        for t in (self.tokenizer, self.pieces):
-            t.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.lower = self.tokenizer.normalizer is not None
+        self.path, self.pieces = path, self._load(path)
+        self.lower = self.pieces.normalizer is not None
         # pre-tokens are normalised and cut already: only bytes and merges are left to do
         self.pieces.pre_tokenizer = Sequence([Split(CUT, "isolated"), ByteLevel(add_prefix_space=False, use_regex=False)])
         if self.lower:
@@ -62,6 +62,17 @@ class Encoder:
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    @staticmethod
+    def _load(path: str) -> Tokenizer:
+        found = Tokenizer.from_file(path)
+        found.encode_special_tokens = True  # their strings in a text are ordinary text
+        return found
+
+    @cached_property
+    def tokenizer(self) -> Tokenizer:
+        """The tokenizer as it is, for texts that are not plain."""
+        return self._load(self.path)
+
     def _words(self, words: list[str]) -> list[bytes]:
         """The ids of each pre-token: one call for all, cut again at `CUT`'s id."""
         found = self.pieces.encode_batch_fast([CUT.join(words)], add_special_tokens=False)[0]
@@ -80,8 +91,8 @@ class Encoder:
         words = [w for w in set(chain.from_iterable(cut)) if w not in memo]
         memo.update((w, older[w]) for w in words if w in older)
         new = [w for w in words if w not in memo]
-        if new:
-            memo.update(zip(new, self._words(new)))
+        for lo in range(0, len(new), WORDS_AT_ONCE):
+            memo.update(zip(new[lo:lo + WORDS_AT_ONCE], self._words(new[lo:lo + WORDS_AT_ONCE])))
         for i, parts in zip(open_, cut):
             found[i] = memo[parts[0]] if len(parts) == 1 else b"".join(map(memo.__getitem__, parts))
         return found
@@ -120,6 +131,7 @@ class Encoder:
             before = total[lo - 1] if lo else 0
             hi = max(lo + 1, int(np.searchsorted(total, before + TEXT_BYTES, "right")))
             yield from self._some(texts.slice(lo, hi - lo))
+            pa.default_memory_pool().release_unused()  # the executor's memory bounds the worker's
             lo = hi
 
     def _some(self, texts: pa.Array) -> list[bytes]:
