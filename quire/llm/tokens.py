@@ -28,8 +28,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task pe
 
 PLAIN = "\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ſ‐-‧€"
 LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ"
-MEMO_ENTRIES = 350_000  # of each of two generations, about 100 MB a worker
-TEXT_BYTES = 1 << 22  # of text whose pieces are looked up together
+MEMO_ENTRIES = 250_000  # of each of two generations, about 70 MB a worker
+TEXT_BYTES = 1 << 21  # of text whose pieces are looked up together
 WORDS_AT_ONCE = 10_000  # unseen words in one call of the library
 
 # The pre-token rules that the tokenizer files state, over PLAIN.
