@@ -3,13 +3,17 @@
 Each text gets its base statistics inside its own row. Texts that pass the
 base rules form a transformed statistic vector each; per language and source
 the minimum covariance determinant estimate of that vector is found by
-concentration steps: the `COVERED` share of the group nearest to the current
-centre gives the next mean and covariance. A document goes when its squared
-Mahalanobis distance exceeds `CUTOFF`.
-
-A step is one aggregate over (group, distance bin): counts, sums and products
-combine before the shuffle, so a group with a third of all documents reaches
-the reducer as a few rows per task, and no group is gathered anywhere.
+concentration steps: the half of the group nearest to the current centre gives
+the next mean and covariance. Steps go on from each of `STARTS` until the
+determinant no longer falls; the least determinant of a group's starts is its
+estimate. A document goes when its squared Mahalanobis distance exceeds
+`CUTOFF`.
+
+A step is one aggregate over (group, start, distance bin): counts, sums and
+products combine before the shuffle, so a group with a third of all documents
+reaches the reducer as a few rows per task, and no group is gathered anywhere.
+Of the bin that crosses the half only the missing fraction counts, so copies
+in one bin can't enter as a whole.
 """
 
 from __future__ import annotations
@@ -28,8 +32,13 @@ VECTOR = ["v1", "v2", "v3", "v4"]
 #: Least standard deviation of each coordinate; statistics that hardly vary
 #: within a group (no symbols, no repeats) would else make it singular.
 LEAST_SD = [0.06, 0.03, 0.15, 0.15]
-COVERED = 0.75
-STEPS = 4
+#: The estimate's share of a group of n: (n + dimensions + 1) / 2 documents.
+COVERED = 0.5
+#: (quantile of the start's centre, spread of its variances: the least ones or
+#: those of the coordinates' quartiles).
+STARTS = [(0.5, "least"), (0.5, "quartiles"), (0.25, "quartiles"), (0.75, "quartiles")]
+#: A start has converged when a step lowers its log-determinant by no more.
+LEAST_FALL = 1e-3
 #: Squared distance, far beyond the 99.999 % point (28.5) of a chi-square with
 #: four degrees of freedom: clean text has heavier tails than a normal.
 CUTOFF = 50.0
@@ -104,17 +113,30 @@ def with_groups(marked: DataFrame) -> DataFrame:
 
 
 def start(rows: DataFrame) -> DataFrame:
-    """(grp, m1..m4, c11..c44): coordinate medians, to a thousandth, and the
-    least variances."""
+    """(grp, start, m1..m4, c11..c44, logdet, moving): the centres and variances
+    of `STARTS`, from coordinate quartiles to a thousandth."""
     cells = rows.select("grp", F.posexplode(F.array(*VECTOR)).alias("k", "x"))
     cells = cells.groupBy("grp", "k", F.round(F.col("x") * 1000).cast("long").alias("bin")).agg(F.count("*").alias("n"))
     w = Window.partitionBy("grp", "k")
-    upto = F.sum("n").over(w.orderBy("bin"))
-    cells = cells.select("grp", "k", "bin", (2 * upto >= F.sum("n").over(w)).alias("reached"))
-    medians = cells.where("reached").groupBy("grp", "k").agg((F.min("bin") / 1000).alias("m"))
-    means = [F.max(F.when(F.col("k") == k, F.col("m"))).alias(f"m{k + 1}") for k in range(len(VECTOR))]
-    cov = [F.lit(LEAST_SD[i] ** 2 if i == j else 0.0).alias(f"c{i + 1}{j + 1}") for i, j in lower()]
-    return medians.groupBy("grp").agg(*means).select("*", *cov)
+    cells = cells.select("grp", "k", "bin", (F.sum("n").over(w.orderBy("bin")) / F.sum("n").over(w)).alias("upto"))
+    names = {0.25: "low", 0.5: "mid", 0.75: "high"}
+    quartiles = cells.groupBy("grp", "k").agg(
+        *[(F.min(F.when(F.col("upto") >= q, F.col("bin"))) / 1000).alias(n) for q, n in names.items()])
+    spread = F.pow((F.col("high") - F.col("low")) / 1.349, F.lit(2.0))
+    flat = quartiles.groupBy("grp").agg(
+        *[F.max(F.when(F.col("k") == k, F.col(n))).alias(f"{n}{k + 1}") for k in range(len(VECTOR))
+          for n in names.values()],
+        *[F.max(F.when(F.col("k") == k, spread)).alias(f"s{k + 1}") for k in range(len(VECTOR))])
+
+    def one(number: int, q: float, kind: str) -> Column:
+        means = [F.col(f"{names[q]}{k + 1}").alias(f"m{k + 1}") for k in range(len(VECTOR))]
+        cov = [(F.lit(LEAST_SD[i] ** 2 if i == j else 0.0) + (F.col(f"s{i + 1}") if i == j and kind == "quartiles"
+                                                              else F.lit(0.0))).alias(f"c{i + 1}{j + 1}")
+               for i, j in lower()]
+        return F.struct(F.lit(number).alias("start"), *means, *cov, F.lit(float("inf")).alias("logdet"),
+                        F.lit(True).alias("moving"))
+
+    return flat.select("grp", F.inline(F.array(*[one(i, *s) for i, s in enumerate(STARTS)])))
 
 
 def lower() -> list[tuple[int, int]]:
@@ -122,19 +144,19 @@ def lower() -> list[tuple[int, int]]:
 
 
 def with_factor(params: DataFrame) -> DataFrame:
-    """The lower Cholesky factor l11..l44 of each group's covariance."""
+    """The lower Cholesky factor l11..l44 of each start's covariance."""
     for i, j in lower():
         cell = F.col(f"c{i + 1}{j + 1}")
         for k in range(j):
             cell = cell - F.col(f"l{i + 1}{k + 1}") * F.col(f"l{j + 1}{k + 1}")
         cell = F.sqrt(F.greatest(cell, F.lit(1e-12))) if i == j else cell / F.col(f"l{j + 1}{j + 1}")
         params = params.withColumn(f"l{i + 1}{j + 1}", cell)
-    return params.select(F.col("grp").alias("_grp"), *[f"m{i + 1}" for i in range(len(VECTOR))],
+    return params.select(F.col("grp").alias("_grp"), "start", *[f"m{i + 1}" for i in range(len(VECTOR))],
                          *[f"l{i + 1}{j + 1}" for i, j in lower()])
 
 
 def with_distance(rows: DataFrame, params: DataFrame) -> DataFrame:
-    """`rows` with the squared distance `d2` to their group's centre."""
+    """`rows` with the squared distance `d2` to the centre of each `start` of their group."""
     joined = rows.join(with_factor(params), F.col("grp") == F.col("_grp"), "left")
     for i, name in enumerate(VECTOR):
         z = F.col(name) - F.col(f"m{i + 1}")
@@ -142,7 +164,7 @@ def with_distance(rows: DataFrame, params: DataFrame) -> DataFrame:
             z = z - F.col(f"l{i + 1}{k + 1}") * F.col(f"z{k + 1}")
         joined = joined.withColumn(f"z{i + 1}", z / F.col(f"l{i + 1}{i + 1}"))
     d2 = sum((F.col(f"z{i + 1}") * F.col(f"z{i + 1}") for i in range(1, len(VECTOR))), F.col("z1") * F.col("z1"))
-    return joined.select(*rows.columns, d2.alias("d2"))
+    return joined.select(*rows.columns, "start", d2.alias("d2"))
 
 
 def consistency(share: float = COVERED) -> float:
@@ -156,24 +178,48 @@ def consistency(share: float = COVERED) -> float:
 
 
 def concentrate(rows: DataFrame, params: DataFrame) -> DataFrame:
-    """One concentration step: mean and covariance of each group's nearest
-    bins that reach the covered share."""
-    binned = with_distance(rows, params).withColumn(
+    """One concentration step of each start that still moves: mean and
+    covariance of the group's nearest half. A start whose determinant does not
+    fall keeps its estimate and moves no more."""
+    binned = with_distance(rows, params.where("moving")).where("start is not null").withColumn(
         "bin", F.floor(F.log(F.col("d2") + 1e-6) * BINS_PER_E).cast("long"))
     sums = [F.sum(v).alias(f"s_{v}") for v in VECTOR]
     sums += [F.sum(F.col(VECTOR[i]) * F.col(VECTOR[j])).alias(f"p{i + 1}{j + 1}") for i, j in lower()]
-    bins = binned.groupBy("grp", "bin").agg(F.count("*").alias("n"), *sums)
-    w = Window.partitionBy("grp")
+    bins = binned.groupBy("grp", "start", "bin").agg(F.count("*").alias("n"), *sums)
+    w = Window.partitionBy("grp", "start")
     before = F.sum("n").over(w.orderBy("bin")) - F.col("n")
-    near = bins.withColumn("inside", before < COVERED * F.sum("n").over(w)).where("inside")
-    cols = [c for c in bins.columns if c not in ("grp", "bin")]
-    total = near.groupBy("grp").agg(*[F.sum(c).alias(c) for c in cols])
+    half = F.floor((F.sum("n").over(w) + len(VECTOR) + 1) * COVERED)
+    near = bins.withColumn("share", F.least(F.lit(1.0), (half - before) / F.col("n"))).where("share > 0")
+    cols = [c for c in bins.columns if c not in ("grp", "start", "bin")]
+    total = near.groupBy("grp", "start").agg(*[F.sum(F.col(c) * F.col("share")).alias(c) for c in cols])
     factor = consistency()
     mean = [(F.col(f"s_{v}") / F.col("n")).alias(f"m{i + 1}") for i, v in enumerate(VECTOR)]
     cov = [(factor * (F.col(f"p{i + 1}{j + 1}") / F.col("n")
                       - F.col(f"s_{VECTOR[i]}") * F.col(f"s_{VECTOR[j]}") / F.col("n") / F.col("n"))
             + (LEAST_SD[i] ** 2 if i == j else 0.0)).alias(f"c{i + 1}{j + 1}") for i, j in lower()]
-    return total.select("grp", *mean, *cov)
+    step = total.select("grp", "start", *mean, *cov)
+    logdet = sum((2 * F.log(f"l{i}{i}") for i in range(2, len(VECTOR) + 1)), 2 * F.log("l11"))
+    dets = with_factor(step).select(F.col("_grp").alias("grp"), "start", logdet.alias("logdet"))
+    step = step.join(dets, ["grp", "start"]).withColumn("moving", F.lit(True))
+    step = step.select(F.col("grp").alias("_grp"), F.col("start").alias("_start"),
+                       F.struct(*params.columns[2:]).alias("step"))
+    old = params.withColumn("moving", F.lit(False)).select("grp", "start", F.struct(*params.columns[2:]).alias("old"))
+    met = old.join(step, (F.col("grp") == F.col("_grp")) & (F.col("start") == F.col("_start")), "left")
+    fell = F.col("step.logdet") < F.col("old.logdet") - LEAST_FALL
+    return met.select("grp", "start", F.when(fell, F.col("step")).otherwise(F.col("old")).alias("p")).select(
+        "grp", "start", "p.*")
+
+
+def estimates(rows: DataFrame) -> DataFrame:
+    """(grp, start, m1..m4, c11..c44, logdet, moving): each group's estimate of
+    least determinant, after all its starts have converged."""
+    params = scratch_table(start(rows), "centres")
+    while not params.where("moving").isEmpty():  # each step lowers a determinant, and the least variances bound it
+        params = scratch_table(concentrate(rows, params), "centres")
+    best = params.groupBy("grp").agg(F.min(F.struct("logdet", "start")).alias("best"))
+    best = best.select(F.col("grp").alias("_grp"), F.col("best.start").alias("_start"))
+    chosen = params.join(best, (F.col("grp") == F.col("_grp")) & (F.col("start") == F.col("_start")))
+    return scratch_table(chosen.select(params.columns), "estimates")
 
 
 def quality(docs: DataFrame, **columns: str) -> DataFrame:
@@ -190,10 +236,7 @@ def quality(docs: DataFrame, **columns: str) -> DataFrame:
     marked = scratch_table(vectors(statistics(docs, **columns)), "statistics")
     grouped = with_groups(marked)
     rows = grouped.where("not base_failed and grp is not null").select("grp", *VECTOR)
-    params = scratch_table(start(rows), "centres")
-    for _ in range(STEPS):
-        params = scratch_table(concentrate(rows, params), "centres")
-    judged = with_distance(grouped, params)
+    judged = with_distance(grouped, estimates(rows))
     kept = ~F.col("base_failed") & F.coalesce(F.col("d2") <= CUTOFF, F.lit(True))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", kept.alias("kept"), F.col("d2").alias("distance"))
