@@ -1,12 +1,15 @@
 """Line dedup by pairwise alignment.
 
-Documents that share lines are aligned in pairs with patience diff, and the
-aligned common blocks are deleted from the later document (by doc_id). Which
-pairs: every two holders of a rare line (in at most `RARE` distinct texts),
-and for a more frequent line each holder with the line's earliest holder. So
-every shared line of a later document meets a document that has it, and the
-number of pairs stays linear in the number of lines. Exact copies align as a
-whole and are settled by their digest before any pairing.
+Documents that share a run of lines are aligned in pairs with patience diff,
+and the aligned common blocks are deleted from the later document (by doc_id).
+From each line starts a run, the fewest lines that reach the characters of a
+deletable block; so every such block begins with a run that both documents
+have, however short its lines are. Which pairs: every two holders of a rare
+run (in at most `RARE` distinct texts), and for a more frequent run each
+holder with the run's earliest holder and with the earliest one that has it
+once, where it can be an anchor. The number of pairs stays linear in the
+number of lines. Exact copies align as a whole and are settled by their digest
+before any pairing.
 """
 
 from __future__ import annotations
@@ -15,15 +18,15 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import map_arrow, numbered, place, renamed, scratch_table
 
 RARE = 8
-#: Lines shorter than this nominate no pairs.
-NOMINATE_CHARS = 20
 #: A common block is deleted when its lines have so many characters.
 BLOCK_CHARS = 50
 
@@ -101,16 +104,58 @@ def digest(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-def candidate_pairs(texts: DataFrame) -> DataFrame:
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def runs(hashes: np.ndarray, chars: np.ndarray, sizes: np.ndarray,
+         least: int = BLOCK_CHARS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, once) of the distinct runs of each text, whose lines stand
+    one text after another, `sizes` lines each: from every line that isn't
+    blank, the fewest lines with `least` characters."""
+    n = len(hashes)
+    powers = np.ones((2, n + 1), np.uint64)
+    powers[:, 1:] = np.array([[_BASE], [_INVERSE]], np.uint64)
+    powers = np.cumprod(powers, axis=1, dtype=np.uint64)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes.view(np.uint64) * powers[0, :n], dtype=np.uint64)])
+    upto = np.concatenate([[0], np.cumsum(chars, dtype=np.int64)])
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    begin = np.flatnonzero(chars > 0)
+    end = np.searchsorted(upto, upto[begin] + max(least, 1))  # lines before the run's end
+    whole = end <= np.cumsum(sizes)[text[begin]]
+    begin, end = begin[whole], end[whole]
+    key = (sums[end] - sums[begin]) * powers[1, begin]
+    order = np.lexsort((key, text[begin]))
+    owner, key = text[begin][order], key[order]
+    new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])])[:len(key)])
+    return owner[new], key[new].view(np.int64), np.diff(new, append=len(key)) == 1
+
+
+def held_runs(texts: DataFrame, least: int) -> DataFrame:
+    """(doc, h, once): the distinct runs of each text (first, digest, hashes, chars)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False).astype(np.int64)
+            hashes, chars = (batch.column(k).flatten().to_numpy(zero_copy_only=False) for k in (2, 3))
+            owner, key, once = runs(hashes, chars, sizes, least)
+            at = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(key),
+                                              pa.array(once)], ["first", "digest", "h", "once"])
+
+    found = map_arrow(texts.select("first", "digest", "hashes", "chars"), run,
+                      "first long, digest binary, h long, once boolean")
+    return found.select(F.struct("first", "digest").alias("doc"), "h", "once")
+
+
+def candidate_pairs(texts: DataFrame, least: int = BLOCK_CHARS) -> DataFrame:
     """(earlier, later): digests of distinct texts (first, digest, hashes, chars)
-    that share a nominating line."""
-    long_lines = F.filter(F.arrays_zip("hashes", "chars"), lambda x: x["chars"] >= NOMINATE_CHARS)
-    held = texts.select(F.struct("first", "digest").alias("doc"),
-                        F.explode(F.array_distinct(F.transform(long_lines, lambda x: x["hashes"]))).alias("h"))
-    stats = held.groupBy("h").agg(F.count("*").alias("n"), F.min("doc").alias("earliest")).where("n > 1")
+    that share a run."""
+    held = scratch_table(held_runs(texts, least), "runs")
+    stats = held.groupBy("h").agg(F.count("*").alias("n"), F.min("doc").alias("earliest"),
+                                  F.min(F.when(F.col("once"), F.col("doc"))).alias("sole")).where("n > 1")
     shared = held.join(stats, "h")
-    star = shared.where((F.col("n") > RARE) & (F.col("doc") != F.col("earliest"))).select(
-        F.col("earliest.digest").alias("earlier"), F.col("doc.digest").alias("later"))
+    star = (shared.where(F.col("n") > RARE).select("doc", F.explode(F.array("earliest", "sole")).alias("e"))
+            .where("e < doc").select(F.col("e.digest").alias("earlier"), F.col("doc.digest").alias("later")))
     lists = (shared.where(F.col("n") <= RARE).groupBy("h")
              .agg(F.sort_array(F.collect_list("doc")).alias("docs")))  # at most RARE of them
     later = lists.select("docs", F.posexplode("docs").alias("at", "d")).where("at > 0")
@@ -155,7 +200,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = (table.join(firsts, "digest").where("doc_id = first")
              .groupBy("digest", "first").agg(F.first("hashes").alias("hashes"), F.first("chars").alias("chars")))
     texts = scratch_table(texts, "texts")
-    removed = aligned_lines(texts, candidate_pairs(texts), least)
+    removed = aligned_lines(texts, candidate_pairs(texts, least), least)
     found = (firsts.join(removed, "digest", "left").where("copies > 1 or removed is not null")
              .select(F.col("digest").alias("_digest"), F.col("first").alias("_first"), F.col("removed").alias("_removed")))
     doc_id, body = F.col(place(docs, id_col)), F.col(place(docs, text_col))
