@@ -9,11 +9,14 @@ form a bucket. One pass over the documents, with no shuffle.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +27,9 @@ MAX_LEN = 1024
 END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
 SEQUENCES_PER_TASK_BITS = 40
+#: In file order a sequence's number has its row's place in the file and its
+#: place in the document in so many bits, the file's number above them.
+ROW_BITS, PIECE_BITS = 25, 20
 DOCS_AT_ONCE = 512
 
 
@@ -33,20 +39,41 @@ def piece_lengths(n: int, max_len: int = MAX_LEN) -> list[int]:
     return [max_len] * full + [1 << b for b in reversed(range(max_len.bit_length() - 1)) if rest >> b & 1]
 
 
+def file_numbers(docs: DataFrame) -> dict[str, int] | None:
+    """Number of each file of a table as written: by its numbers, part and file
+    of the part; None where `docs` isn't a scan of files."""
+    try:
+        docs.select("_metadata.file_name", "_metadata.row_index")
+    except AnalysisException:
+        return None
+    names = {unquote(f.rsplit("/", 1)[-1]) for f in docs.inputFiles()}
+
+    def key(name: str) -> tuple:
+        found = re.match(r"part-(\d+)-.*?-c(\d+)\b", name)
+        return (0, int(found[1]), int(found[2]), name) if found else (1, 0, 0, name)
+
+    return {name: k for k, name in enumerate(sorted(names, key=key))}
+
+
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_len: int = MAX_LEN,
-         end_id: int = END_ID, tokenizer: str = TOKENIZER) -> DataFrame:
+         end_id: int = END_ID, tokenizer: str = TOKENIZER, file_order: bool = False) -> DataFrame:
     """(doc_id, start, length, doc_tokens, sequence_id, offset, bucket, ids), a row per piece.
 
     ids holds the piece's ids as little-endian unsigned 32-bit bytes; start is
     the number of the document's ids before it; bucket is log2(length). A
     sequence is one piece, so offset is 0. sequence_id is the task's number
-    followed by a running number, unique over the table. A null or empty text
+    followed by a running number, unique over the table; with `file_order`, and
+    if `docs` is a scan of files, it follows the order in which the rows were
+    written, whatever tasks read them. A null or empty text
     is the end id alone. Repeated rows and rows with a null doc_id are packed
     like any other. An empty table gives no rows. Other columns are not read.
     """
     if max_len < 1 or max_len & (max_len - 1):
         raise ValueError("max_len must be a power of two")
     end = np.array([end_id], "<u4").tobytes()
+    files = file_numbers(docs) if file_order else None
+    if files and len(files) >> (63 - ROW_BITS - PIECE_BITS):
+        raise ValueError("too many files to number their sequences")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path(tokenizer)).encode
@@ -55,11 +82,21 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_le
             found = encode(batch.column(1))
             for lo in range(0, batch.num_rows, DOCS_AT_ONCE):
                 part = batch.slice(lo, DOCS_AT_ONCE)
-                rows, starts, lengths, totals, pieces = [], [], [], [], []
+                rows, starts, lengths, totals, pieces, numbers = [], [], [], [], [], []
                 for row in range(part.num_rows):
+                    if files is not None:
+                        at = part.column(3)[row].as_py()
+                        if at >> ROW_BITS:
+                            raise ValueError("too many rows in a file to number their sequences")
+                        sequence = (files[unquote(part.column(2)[row].as_py())] << ROW_BITS | at) << PIECE_BITS
                     ids = next(found) + end
                     start, total = 0, len(ids) // 4
-                    for length in piece_lengths(total, max_len):
+                    cuts = piece_lengths(total, max_len)
+                    if files is not None and len(cuts) >> PIECE_BITS:
+                        raise ValueError("too many pieces of a document to number them")
+                    numbers.extend(range(sequence, sequence + len(cuts)))
+                    sequence += len(cuts)
+                    for length in cuts:
                         rows.append(row)
                         starts.append(start)
                         lengths.append(length)
@@ -70,12 +107,12 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_le
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(rows)), pa.array(starts, pa.int64()),
                      pa.array(lengths, pa.int64()), pa.array(totals, pa.int64()),
-                     pa.array(range(sequence, sequence + n), pa.int64()), pa.array(np.zeros(n, np.int64)),
+                     pa.array(numbers, pa.int64()), pa.array(np.zeros(n, np.int64)),
                      pa.array([x.bit_length() - 1 for x in lengths], pa.int32()), pa.array(pieces, pa.binary())],
                     ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "bucket", "ids"])
-                sequence += n
 
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    order = [] if files is None else [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *order)
     return map_arrow(rows, run, "doc_id long, start long, length long, doc_tokens long, "
                                 "sequence_id long, offset long, bucket int, ids binary")
 
