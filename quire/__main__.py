@@ -2,7 +2,7 @@
 
     python -m quire articles  <article-lines file> [--vocab T1,T2,...]
     python -m quire postings  <posting-lines file> [--vocab T1,T2,...] [--expected N] [--spread S]
-                              [--kernels K] [--eta E] [--max-iterations M]
+                              [--kernels K] [--eta E] [--max-iterations M] [--resume FOLDER]
     python -m quire timeuse   <survey csv> [--infer]
 
 Under spark-submit the session comes from the submit configuration; with
@@ -32,6 +32,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--kernels", type=int, default=clustering.DEFAULT_KERNELS, help="number of clusters")
     parser.add_argument("--eta", type=float, default=clustering.DEFAULT_ETA, help="movement below which k-means stops")
     parser.add_argument("--max-iterations", type=int, default=clustering.DEFAULT_MAX_ITERATIONS)
+    parser.add_argument("--resume", metavar="FOLDER", default=None,
+                        help="shared folder that keeps the k-means run, to go on from after a lost driver")
     parser.add_argument("--infer", action="store_true", help="infer the survey's column types in an extra pass")
     args = parser.parse_args(argv)
     spark = (local_session(args.local, app=f"quire-{args.program}") if args.local
@@ -44,7 +46,7 @@ def main(argv: list[str] | None = None) -> None:
             print(out["timing"])
         elif args.program == "postings":
             programs.cluster_postings(spark, args.path, args.vocab, args.spread, args.kernels, args.eta,
-                                      args.max_iterations, expected_vectors=args.expected)
+                                      args.max_iterations, expected_vectors=args.expected, resume=args.resume)
         else:
             programs.summarise_time_use(spark, args.path, args.infer)
     finally:

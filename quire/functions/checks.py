@@ -1,4 +1,4 @@
-"""Checks that no later projection can remove."""
+"""Checks that no later projection can remove, and values computed once."""
 
 from __future__ import annotations
 
@@ -15,3 +15,10 @@ def must_hold(df: DataFrame, condition: Column, message: Column | str) -> DataFr
     """
     text = F.lit(message) if isinstance(message, str) else message
     return df.where(F.when(condition, F.lit(True)).otherwise(F.raise_error(text).cast("boolean")))
+
+
+def once(value: Column) -> Column:
+    """`value` as the one row of a generator: computed once for each input row.
+    A projected column would be copied into each of its uses, and a condition
+    on it moved below it with its whole expression."""
+    return F.explode(F.array(value))

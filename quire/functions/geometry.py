@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Centres are inlined into the plan, one distance expression per centre;
-# k must stay a small parameter.
-MAX_CENTERS = 4_096
 # Beyond this many centres the unrolled distances pass the 8,000 bytes of
 # bytecode up to which the JVM compiles a method.
 UNROLLED = 64
@@ -39,8 +36,6 @@ def nearest_center(x: Column | str, y: Column | str,
     """
     if not centers:
         raise ValueError("at least one centre is needed")
-    if len(centers) > MAX_CENTERS:
-        raise ValueError(f"{len(centers)} centres exceed the bound {MAX_CENTERS}")
     centers = sorted((int(cid), int(cx), int(cy)) for cid, cx, cy in centers)
     ids = F.array(*[F.lit(cid) for cid, _, _ in centers])
     if len(centers) == 1:
@@ -64,6 +59,37 @@ def nearest_center(x: Column | str, y: Column | str,
     return F.element_at(ids, F.array_position(F.array(*cols), F.least(*cols)).cast("int"))
 
 
+def bands(x: int, centers: Sequence[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """(least y, center_id) pieces of the line at `x`, by rising y: from each
+    y on, that centre is the closest one until the next piece begins; equal
+    distances go to the lower id.
+
+    Along the line two centres change places once, at an integer y found in
+    exact arithmetic, so the pieces are the lower envelope of k parabolas of
+    one width: a stack over the centres by rising cy. The first piece has no
+    least y and gets -2^63.
+    """
+    def takes_over(a: tuple[int, int, int], b: tuple[int, int, int]) -> int:
+        """The least y from which b is closer than a (b has the greater cy)."""
+        twice = 2 * (b[0] - a[0])
+        gap = b[0] * b[0] - a[0] * a[0] + b[1] - a[1]
+        return -(-gap // twice) if b[2] < a[2] else gap // twice + 1
+
+    lines: list[tuple[int, int, int]] = []  # (cy, squared distance in x, id), one for each cy
+    for line in sorted((cy, (x - cx) ** 2, cid) for cid, cx, cy in centers):
+        if not lines or lines[-1][0] != line[0]:
+            lines.append(line)
+    kept: list[tuple[int, int, int]] = []
+    begins: list[int] = []
+    for line in lines:
+        while kept and (at := takes_over(kept[-1], line)) <= begins[-1]:
+            kept.pop()
+            begins.pop()
+        begins.append(at if kept else -(1 << 63))
+        kept.append(line)
+    return [(at, cid) for at, (_, _, cid) in zip(begins, kept) if at < 1 << 63]
+
+
 def int_div(a: Column, b: Column) -> Column:
     """Integer division truncated toward zero (SQL `a div b`), exact for 64-bit values."""
     return F.call_function("div", a, b)

@@ -2,29 +2,28 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Hard bound on the vocabulary. It travels inside the plan as a literal
-# array (and as a broadcast side of at most this many rows), so its size
-# must not grow with the data.
-MAX_VOCAB = 10_000
+# Vocabularies up to here travel inside the plan, as a literal array; larger
+# ones are a table that the articles' tokens are joined with.
+LITERAL_TERMS = 2_048
 
 
 def check_vocab(vocab: Sequence[str]) -> list[str]:
-    """Validate a vocabulary: non-empty, bounded, no duplicate terms."""
+    """Validate a vocabulary: non-empty, no duplicate terms."""
     terms = list(vocab)
     if not terms:
         raise ValueError("vocabulary must not be empty")
-    if len(terms) > MAX_VOCAB:
-        raise ValueError(f"vocabulary of {len(terms)} terms exceeds the bound {MAX_VOCAB}")
     if any(not isinstance(t, str) or t == "" for t in terms):
         raise ValueError("vocabulary terms must be non-empty strings")
-    if len(set(terms)) != len(terms):
-        dupes = sorted({t for t in terms if terms.count(t) > 1})
-        raise ValueError(f"duplicate vocabulary terms: {dupes}")
+    dupes = sorted(t for t, n in Counter(terms).items() if n > 1)
+    if dupes:
+        raise ValueError(f"duplicate vocabulary terms: {dupes[:20]}")
     return terms
 
 
@@ -66,3 +65,26 @@ def term_index(value: Column | str, vocab: Sequence[str]) -> Column:
     -1 when absent, null when `value` is null."""
     c = F.col(value) if isinstance(value, str) else value
     return F.array_position(vocab_array(vocab), c) - F.lit(1)
+
+
+Vocabulary = Sequence[str] | DataFrame
+
+
+def vocab_table(spark: SparkSession, vocab: Vocabulary) -> DataFrame:
+    """(idx, term) of a vocabulary given as a list, in its order, or already as
+    such a table, whose terms must be non-empty and not repeat."""
+    if isinstance(vocab, DataFrame):
+        found = vocab.select(F.col("idx").cast("bigint").alias("idx"), "term")
+        n, usable, distinct = found.agg(
+            F.count(F.lit(1)), F.count_if(F.col("term") != ""), F.count_distinct("term")).first()
+        if not n == usable == distinct:
+            raise ValueError("a vocabulary table needs non-empty terms without duplicates")
+        if not n:
+            raise ValueError("vocabulary must not be empty")
+        return found
+    terms = check_vocab(vocab)
+    return spark.createDataFrame(pa.table({"idx": pa.array(range(len(terms)), pa.int64()), "term": pa.array(terms)}))
+
+
+def is_literal(vocab: Vocabulary) -> bool:
+    return not isinstance(vocab, DataFrame) and len(vocab) <= LITERAL_TERMS

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from quire.operators import articles, clustering, postings, timeuse
 from quire.plans import params as P
+from quire.session import scratch_folder
+from quire.sources import bucketed, index_store, lines, tables
 from quire.sources import csv as csv_source
-from quire.sources import lines, tables
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +48,14 @@ def time_usage_grouped_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeuse.time_usage_grouped_typed(time_usage_typed(spark, sf_dir))
 
 
+def time_usage_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The survey written as CSV files, read back with inferred types, summarised."""
+    path = scratch_folder(spark, "survey")
+    tables.wide_view(spark, sf_dir).write.option("header", "true").csv(path)
+    _, survey = csv_source.read_csv(spark, path)
+    return timeuse.time_usage_grouped(timeuse.time_usage_summary(survey))
+
+
 # --- articles -------------------------------------------------------------
 
 def parse_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +92,41 @@ def rank_terms_using_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_term(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return articles.top_term(rank_terms(spark, sf_dir))
+    return articles.top_term(rank_terms(spark, sf_dir), P.ARTICLE_VOCAB)
+
+
+def rank_terms_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking from a bit per term and article."""
+    bits = articles.term_bitmaps(tables.articles_view(spark, sf_dir), P.ARTICLE_VOCAB)
+    return articles.rank_bitmaps(bits, P.ARTICLE_VOCAB)
+
+
+def index_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bits = articles.term_bitmaps(tables.articles_view(spark, sf_dir), P.ARTICLE_VOCAB)
+    return articles.index_bitmaps(bits, P.ARTICLE_VOCAB)
+
+
+def rank_terms_vocab_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranking over a vocabulary table: every token of the corpus."""
+    arts = tables.articles_view(spark, sf_dir)
+    words = arts.select(F.explode(F.split("text", " ")).alias("term")).where("term <> ''").distinct()
+    vocab = words.select(F.xxhash64("term").alias("idx"), "term")
+    return articles.rank_terms_agg(arts, vocab)
+
+
+def _stored_index(spark: SparkSession, sf_dir: str) -> index_store.StoredIndex:
+    path = scratch_folder(spark, "index")
+    index_store.write_index(tables.articles_view(spark, sf_dir), path, block_size=P.STORED_BLOCK_SIZE)
+    return index_store.StoredIndex(spark, path)
+
+
+def stored_index_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking from an index of all tokens, written and read back."""
+    return _stored_index(spark, sf_dir).rank(P.ARTICLE_VOCAB)
+
+
+def stored_index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_index(spark, sf_dir).lookup(P.STORED_TERMS)
 
 
 def rank_terms_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,6 +166,23 @@ def vectors(spark: SparkSession, sf_dir: str, spread: int = P.SPREAD, vocab: lis
     return postings.vector_postings(scored, vocab, spread)
 
 
+def scored_postings_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings written by explicit partitioning and scored without a shuffle."""
+    path = scratch_folder(spark, "postings")
+    name = "quire_" + path.rsplit("-", 1)[-1]
+    bucketed.write_postings(tables.postings_view(spark, sf_dir), name, P.BUCKETS, path)
+    posts = bucketed.read_postings_tables(spark, name)
+    return bucketed.shuffle_free(postings.scored_postings(posts).select("id", "tag", "high_score"))
+
+
+def weighted_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median price in cents of each supplier's line items, by quantity."""
+    lines_ = tables.table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
+        F.col("l_quantity").cast("bigint").alias("quantity"))
+    return clustering.group_medians(lines_, "l_suppkey", "cents", "quantity")
+
+
 def vector_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.vector_count(vectors(spark, sf_dir))
 
@@ -186,6 +246,37 @@ def kmeans_trace_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_kmeans(spark, sf_dir)[1].trace_frame(spark)
 
 
+def _pair_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = postings.scored_postings(tables.pair_postings_view(spark, sf_dir))
+    return clustering.materialize(clustering.weighted_points(
+        postings.vector_postings(scored, P.PAIR_TAGS, P.SPREAD)))
+
+
+def _kmeans_15_tags(spark: SparkSession, sf_dir: str):
+    points = _pair_points(spark, sf_dir)
+    centers = clustering.collect_centers(
+        clustering.initial_centers(points, P.PAIR_TAGS, P.SPREAD, P.PAIR_KERNELS, P.SEED))
+    return points, clustering.kmeans(points, centers, P.ETA, P.MAX_ITERATIONS, checkpoint=False)
+
+
+def kmeans_15_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-means at the posting program's own size: three centres for each of 15 tags."""
+    return _kmeans_15_tags(spark, sf_dir)[1].centers_frame(spark)
+
+
+def cluster_results_15_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points, result = _kmeans_15_tags(spark, sf_dir)
+    return clustering.cluster_results(points, result.centers, P.PAIR_TAGS, P.SPREAD)
+
+
+def kmeans_assign_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest of many centres, by bands."""
+    points = clustering.materialize(clustering.weighted_points(vectors(spark, sf_dir, vocab=P.ALL_TAGS)))
+    sample = clustering.sample_vectors_global(points, P.MANY_KERNELS, P.SEED)
+    return clustering.kmeans_assign(points, clustering.collect_centers(
+        clustering.number_centers(sample, P.MANY_KERNELS)))
+
+
 def run_kmeans_45(spark: SparkSession, sf_dir: str):
     """K-means at the posting program's own size, over all tags."""
     points = clustering.materialize(clustering.weighted_points(vectors(spark, sf_dir, vocab=P.ALL_TAGS)))
@@ -230,11 +321,18 @@ QUERIES: dict[str, Plan] = {
     "rank_terms_using_index": rank_terms_using_index,
     "top_term": top_term,
     "rank_terms_from_lines": rank_terms_from_lines,
+    "rank_terms_bitmaps": rank_terms_bitmaps,
+    "index_bitmaps": index_bitmaps,
+    "rank_terms_vocab_table": rank_terms_vocab_table,
+    "stored_index_rank": stored_index_rank,
+    "stored_index_lookup": stored_index_lookup,
     "parse_postings": parse_postings,
     "grouped_postings": grouped_postings,
     "grouped_posting_blocks": grouped_posting_blocks,
     "scored_postings": scored_postings,
     "scored_postings_from_lines": scored_postings_from_lines,
+    "scored_postings_bucketed": scored_postings_bucketed,
+    "weighted_medians": weighted_medians,
     "vector_postings": vectors,
     "vector_count": vector_count,
     "distinct_vectors": distinct_vectors,
@@ -248,6 +346,9 @@ QUERIES: dict[str, Plan] = {
     "kmeans_trace_centers": kmeans_trace_centers,
     "kmeans_mixed": kmeans_mixed,
     "kmeans_45": kmeans_45,
+    "kmeans_15_tags": kmeans_15_tags,
+    "cluster_results_15_tags": cluster_results_15_tags,
+    "kmeans_assign_many": kmeans_assign_many,
     "cluster_results": cluster_results,
     "cluster_report": cluster_report,
     "cluster_results_mixed": cluster_results_mixed,
@@ -258,4 +359,5 @@ QUERIES: dict[str, Plan] = {
     "time_usage_grouped": time_usage_grouped,
     "time_usage_grouped_sql": time_usage_grouped_sql,
     "time_usage_grouped_typed": time_usage_grouped_typed,
+    "time_usage_from_csv": time_usage_from_csv,
 }

@@ -3,8 +3,9 @@ base tables only: every input view is inlined as a CTE."""
 
 from __future__ import annotations
 
-from quire.plans.params import (ALL_KERNELS, ALL_TAGS, ANSWER_BLOCK_SIZE, ARTICLE_VOCAB, ETA, INDEX_BLOCK_SIZE, KERNELS, MAX_ITERATIONS,
-                                MENTION_TERM, MIXED_SPREAD, POSTING_VOCAB, SEED, SPREAD)
+from quire.plans.params import (ALL_KERNELS, ALL_TAGS, ANSWER_BLOCK_SIZE, ARTICLE_VOCAB, ETA, INDEX_BLOCK_SIZE, KERNELS,
+                                MANY_KERNELS, MAX_ITERATIONS, MENTION_TERM, MIXED_SPREAD, PAIR_KERNELS, PAIR_TAGS,
+                                POSTING_VOCAB, SEED, SPREAD, STORED_TERMS)
 from quire.sources.tables import WIDE_MINUTE_COLUMNS
 
 # --- input views ----------------------------------------------------------
@@ -233,9 +234,18 @@ FROM (SELECT string_split(line, ',') AS s FROM v_posting_lines) t""",
               count(*) OVER (PARTITION BY qid) AS n_answers FROM r)""") + """SELECT qid, block, count(*) AS n, any_value(n_answers) AS n_answers,
        string_agg(concat_ws(':', id, score), ',' ORDER BY id, score) AS answers
 FROM b GROUP BY qid, block""",
-    "grouped_postings": with_(V_POSTINGS) + """SELECT q.id AS qid, q.tag AS tag, a.id AS answer_id, a.score AS score
-FROM v_postings q JOIN v_postings a ON a.parent_id = q.id
-WHERE q.posting_type = 1 AND a.posting_type = 2""",
+    "grouped_postings": """SELECT o_orderkey AS qid, CASE WHEN o_orderkey % 10 <> 0 THEN o_orderpriority END AS tag,
+       l_orderkey * 10 + l_linenumber AS answer_id, CAST(floor(l_extendedprice / 100) AS INT) - 300 AS score
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey""",
+    "weighted_medians": """WITH lines AS (
+  SELECT l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, CAST(l_quantity AS BIGINT) AS w FROM lineitem),
+runs AS (
+  SELECT l_suppkey, cents, sum(w) OVER (PARTITION BY l_suppkey ORDER BY cents) AS upto,
+         sum(w) OVER (PARTITION BY l_suppkey) AS n FROM lines WHERE w > 0),
+middles AS (
+  SELECT l_suppkey, min(cents) FILTER (WHERE upto >= (n + 1) // 2) AS a, min(cents) FILTER (WHERE upto >= n // 2 + 1) AS b
+  FROM runs GROUP BY l_suppkey)
+SELECT l_suppkey, CAST(floor((a + b) / 2) AS BIGINT) AS median FROM middles""",
     "scored_postings": with_(V_POSTINGS, V_SCORED) + "SELECT id, tag, high_score FROM v_scored",
     "vector_postings": _POST + "SELECT x, y FROM v_vectors",
     "vector_count": _POST + "SELECT count(*) AS n FROM v_vectors",
@@ -245,8 +255,8 @@ WHERE q.posting_type = 1 AND a.posting_type = 2""",
 
 # --- clustering -----------------------------------------------------------
 
-def _label_case(spread: int) -> str:
-    whens = " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(POSTING_VOCAB))
+def _label_case(spread: int, vocab: list[str] = POSTING_VOCAB) -> str:
+    whens = " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(vocab))
     return f"CASE x // {spread} {whens} END"
 
 
@@ -261,15 +271,15 @@ a AS (SELECT x, y, w, center_id FROM asg WHERE rn = 1)"""
 _PW = "pw AS (SELECT x, y, count(*) AS w FROM v_vectors GROUP BY x, y)"
 
 
-def _cluster_sql(spread: int, centers_cte: str) -> str:
-    return with_(V_POSTINGS, V_SCORED, v_vectors(spread), centers_cte, kmeans_cte(ETA, MAX_ITERATIONS),
+def _cluster_sql(spread: int, centers_cte: str, v_postings: str = V_POSTINGS, vocab: list[str] = POSTING_VOCAB) -> str:
+    return with_(v_postings, V_SCORED, v_vectors(spread, vocab=vocab), centers_cte, kmeans_cte(ETA, MAX_ITERATIONS),
                  _assign_to("final"),
                  "lab AS (SELECT center_id, x, sum(w) AS n FROM a GROUP BY center_id, x)",
                  """top AS (SELECT center_id, x, n, sum(n) OVER (PARTITION BY center_id) AS size,
                    row_number() OVER (PARTITION BY center_id ORDER BY n DESC, x) AS r FROM lab)""",
                  """med AS (SELECT a.center_id, CAST(floor(quantile_cont(v.y, 0.5)) AS BIGINT) AS median
                    FROM a JOIN v_vectors v ON v.x = a.x AND v.y = a.y GROUP BY a.center_id)""",
-                 f"""res AS (SELECT top.center_id, {_label_case(spread)} AS label,
+                 f"""res AS (SELECT top.center_id, {_label_case(spread, vocab)} AS label,
                    CAST(100.0 AS DOUBLE) * n / size AS percent, CAST(size AS BIGINT) AS size, med.median
                    FROM top JOIN med ON top.center_id = med.center_id WHERE r = 1)""",
                  recursive=True)
@@ -332,6 +342,24 @@ CLUSTER_SQL["kmeans_trace_centers"] = _KM + """SELECT b.it AS iteration, b.i AS
        b.x AS new_x, b.y AS new_y, CAST((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y) AS DOUBLE) AS moved
 FROM km a JOIN km b ON a.i = b.i AND b.it = a.it + 1"""
 
+V_PAIR_POSTINGS = V_POSTINGS.replace("THEN o_orderpriority END", "THEN concat_ws('/', o_orderpriority, o_orderstatus) END")
+_PAIR_CENTERS = v_centers(PAIR_KERNELS // len(PAIR_TAGS), SEED)
+CLUSTER_SQL["kmeans_15_tags"] = with_(
+    V_PAIR_POSTINGS, V_SCORED, v_vectors(SPREAD, vocab=PAIR_TAGS), _PAIR_CENTERS,
+    kmeans_cte(ETA, MAX_ITERATIONS), recursive=True) + "SELECT center_id, x, y FROM final"
+CLUSTER_SQL["cluster_results_15_tags"] = (_cluster_sql(SPREAD, _PAIR_CENTERS, V_PAIR_POSTINGS, PAIR_TAGS)
+                                          + "SELECT center_id, label, percent, size, median FROM res")
+CLUSTER_SQL["kmeans_assign_many"] = with_(
+    V_POSTINGS, V_SCORED, v_vectors(SPREAD, vocab=ALL_TAGS), v_centers_global(MANY_KERNELS, SEED), _PW,
+    _assign_to("v_centers")) + "SELECT center_id, CAST(sum(w) AS BIGINT) AS n FROM a GROUP BY center_id"
+ARTICLE_SQL["rank_terms_bitmaps"] = ARTICLE_SQL["stored_index_rank"] = _RANK
+ARTICLE_SQL["index_bitmaps"] = ARTICLE_SQL["inverted_index"]
+ARTICLE_SQL["rank_terms_vocab_table"] = with_(V_ARTICLES) + """SELECT term, count(*) AS n
+FROM (SELECT unnest(list_distinct(string_split(text, ' '))) AS term FROM v_articles) WHERE term <> '' GROUP BY term"""
+ARTICLE_SQL["stored_index_lookup"] = with_(V_ARTICLES, vocab_cte(STORED_TERMS), _INDEX) + "SELECT term, title FROM idx"
+POSTING_SQL["scored_postings_bucketed"] = POSTING_SQL["scored_postings"]
+SQL["time_usage_from_csv"] = SQL["time_usage_grouped"]
+
 SQL.update(ARTICLE_SQL)
 SQL.update(POSTING_SQL)
 SQL.update(CLUSTER_SQL)

@@ -23,3 +23,18 @@ ALL_KERNELS = 45
 
 # Answers in a block of `grouped_posting_blocks`.
 ANSWER_BLOCK_SIZE = 2
+
+# The posting program's vocabulary size: 15 tags (priority and status of an
+# order), three centres each.
+PAIR_TAGS = [f"{p}/{s}" for p in ALL_TAGS for s in ("F", "O", "P")]
+PAIR_KERNELS = 45
+
+# More centres than the plan has distances for, over all tags.
+MANY_KERNELS = 200
+
+# Postings in a block of the stored index.
+STORED_BLOCK_SIZE = 64
+STORED_TERMS = ["the", "der", "zzqx"]
+
+# Buckets of the stored postings.
+BUCKETS = 8

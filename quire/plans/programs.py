@@ -45,17 +45,19 @@ class Timings:
 
 def rank_articles(spark: SparkSession, path: str, vocab: Sequence[str] = LANGUAGES) -> dict:
     """Three rankings of the terms over an article-line file, each timed.
-    The parsed articles are cached for the three passes (and recomputed
+
+    The file is read and parsed once: what is cached for the three passes is a
+    bit per vocabulary term and article, not the texts (and it is recomputed
     from the file if an executor is lost)."""
-    arts = lines.read_articles(spark, path).cache()
+    bits = articles.term_bitmaps(lines.read_articles(spark, path), vocab).select("bits").cache()
     t = Timings()
     try:
-        naive = t.timed(PHASES[0], lambda: articles.rank_terms(arts, vocab).collect())
-        index = articles.inverted_index(arts, vocab)
+        naive = t.timed(PHASES[0], lambda: articles.rank_bitmaps(bits, vocab).collect())
+        index = articles.index_bitmaps(bits, vocab)
         by_index = t.timed(PHASES[1], lambda: articles.rank_terms_using_index(index, vocab).collect())
-        by_key = t.timed(PHASES[2], lambda: articles.rank_terms_agg(arts, vocab).collect())
+        by_key = t.timed(PHASES[2], lambda: articles.rank_bitmaps_agg(bits, vocab).collect())
     finally:
-        arts.unpersist()
+        bits.unpersist()
     return {"naive": [tuple(r) for r in naive], "index": [tuple(r) for r in by_index],
             "by_key": [tuple(r) for r in by_key], "timing": str(t)}
 
@@ -63,16 +65,24 @@ def rank_articles(spark: SparkSession, path: str, vocab: Sequence[str] = LANGUAG
 def cluster_postings(spark: SparkSession, path: str, vocab: Sequence[str] = LANGUAGES,
                      spread: int = 50_000, kernels: int = 45, eta: float = 20.0,
                      max_iterations: int = 120, expected_vectors: int | None = None,
-                     debug: bool = True) -> DataFrame:
+                     debug: bool = True, resume: str | None = None) -> DataFrame:
     """Postings file -> scored vectors -> sampled centres -> k-means ->
-    cluster summary (printed). Returns the summary frame."""
-    raw = lines.read_postings(spark, path)
-    vectors = postings.vector_postings(postings.scored_postings(raw), vocab, spread)
-    if expected_vectors is not None:
-        postings.vector_count(vectors, expected_vectors).collect()
-    points = clustering.materialize(clustering.weighted_points(vectors))
+    cluster summary (printed). Returns the summary frame.
+
+    The vectors are computed once, as the materialised weighted points; their
+    number is checked on those. With `resume`, a folder of the shared store,
+    the points and each round's centres are kept there and a later call goes
+    on from them."""
+    def build() -> DataFrame:
+        raw = lines.read_postings(spark, path)
+        return clustering.weighted_points(
+            postings.vector_postings(postings.scored_postings(raw), vocab, spread))
+
+    saved = clustering.SavedRun(spark, resume) if resume else None
+    points = saved.points(build) if saved else clustering.materialize(build())
+    clustering.expect_vectors(points, expected_vectors)
     centers = clustering.collect_centers(clustering.initial_centers(points, vocab, spread, kernels))
-    result = clustering.kmeans(points, centers, eta, max_iterations, checkpoint=False, debug=debug)
+    result = clustering.kmeans(points, centers, eta, max_iterations, checkpoint=False, debug=debug, saved=saved)
     summary = clustering.cluster_results(points, result.centers, vocab, spread)
     clustering.print_results(summary)
     return summary

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -65,3 +66,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared checkpoint folder, removed when the
+    driver's JVM ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quire/{name}-{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    place = sc._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path

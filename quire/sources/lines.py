@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from quire.functions.checks import must_hold
 from pyspark.sql import types as T
 
+from quire.functions.checks import must_hold, once
+
 TITLE_DELIMITER = "</title><text>"
 
 POSTING_SCHEMA = T.StructType([
@@ -44,18 +44,21 @@ def parse_articles(lines: DataFrame, line_col: str = "value", prefix_len: int =
     """
     if mode not in ("strict", "permissive"):
         raise ValueError("mode must be 'strict' or 'permissive'")
+    # the delimiter's place and the length, found once a line: no rule folds a generator into its uses
     line = F.col(line_col)
-    pos = F.instr(line, TITLE_DELIMITER)  # 1-based, 0 when absent
+    marks = F.struct(F.instr(line, TITLE_DELIMITER).alias("pos"), F.length(line).alias("size"))
+    found = lines.select(line.alias("_line"), once(marks).alias("_at"))
+    line, pos = F.col("_line"), F.col("_at.pos")  # 1-based, 0 when absent
     text_start = pos + F.lit(len(TITLE_DELIMITER))
-    ok = (pos > prefix_len) & (F.length(line) - F.lit(suffix_len) >= text_start - 1)
+    text_end = F.col("_at.size") - F.lit(suffix_len)
+    ok = (pos > prefix_len) & (text_end >= text_start - 1)
     title = line.substr(F.lit(prefix_len + 1), pos - F.lit(1 + prefix_len))
-    text = line.substr(text_start, F.length(line) - F.lit(suffix_len) - text_start + 1)
+    text = line.substr(text_start, text_end - text_start + 1)
     if mode == "strict":
-        return must_hold(lines, ok, F.concat(F.lit("malformed article line: "), line.substr(1, 80))).select(
+        return must_hold(found, ok, F.concat(F.lit("malformed article line: "), line.substr(1, 80))).select(
             title.alias("title"), text.alias("text"))
-    checked = lines.select(title.alias("title"), text.alias("text"), line.alias("_line"), ok.alias("_ok"))
-    return (checked.where("_ok").select("title", "text"),
-            checked.where(~F.col("_ok")).select(F.col("_line").alias(line_col)))
+    return (found.where(ok).select(title.alias("title"), text.alias("text")),
+            found.where(~F.coalesce(ok, F.lit(False))).select(line.alias(line_col)))
 
 
 def read_articles(spark: SparkSession, path: str, **kw) -> DataFrame:
@@ -81,8 +84,8 @@ def parse_postings(lines: DataFrame, line_col: str = "value", mode: str = "stric
     """
     if mode not in ("strict", "permissive"):
         raise ValueError("mode must be 'strict' or 'permissive'")
-    line = F.col(line_col)
-    arr = F.split(line, ",")
+    found = lines.select(F.col(line_col).alias("_line"), once(F.split(F.col(line_col), ",")).alias("_fields"))
+    line, arr = F.col("_line"), F.col("_fields")
     typed, ok = [], F.lit(True)
     for i, (name, dtype, optional) in enumerate(POSTING_FIELDS):
         text = F.get(arr, i)
@@ -90,14 +93,10 @@ def parse_postings(lines: DataFrame, line_col: str = "value", mode: str = "stric
         valid = text.isNotNull() & ((text == "") | value.isNotNull()) if optional else value.isNotNull()
         typed.append(value.alias(name))
         ok = ok & valid
-    tag = F.nullif(F.get(arr, 5), F.lit("")).alias("tag")
+    typed.append(F.nullif(F.get(arr, 5), F.lit("")).alias("tag"))
     if mode == "strict":
-        return must_hold(lines, ok, F.concat(F.lit("malformed posting line: "), line.substr(1, 80))).select(
-            *typed, tag)
-    checked = lines.select(*typed, tag, line.alias("_line"), ok.alias("_ok"))
-    good = checked.where(F.col("_ok")).drop("_line", "_ok")
-    rejects = checked.where(~F.col("_ok")).select(F.col("_line").alias(line_col))
-    return good, rejects
+        return must_hold(found, ok, F.concat(F.lit("malformed posting line: "), line.substr(1, 80))).select(*typed)
+    return found.where(ok).select(*typed), found.where(~F.coalesce(ok, F.lit(False))).select(line.alias(line_col))
 
 
 def read_postings(spark: SparkSession, path: str, mode: str = "strict"):

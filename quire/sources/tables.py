@@ -41,6 +41,13 @@ def postings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings_from(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
 
 
+def pair_postings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The postings with 15 tags, an order's priority and status in one."""
+    orders = table(spark, sf_dir, "orders")
+    return postings_from(orders.withColumn("o_orderpriority", F.concat_ws("/", "o_orderpriority", "o_orderstatus")),
+                         table(spark, sf_dir, "lineitem"))
+
+
 def postings_from(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Questions from orders, answers from line items, in the posting schema
     (posting_type, id, accepted_answer, parent_id, score, tag). Operators

@@ -84,7 +84,7 @@ def test_answer_blocks_of_a_hot_question(spark):
     posts = spark.range(2100).selectExpr(
         "int(if(id < 2, 1, 2)) posting_type", "if(id >= 2000, 2000, id) id", "cast(null as bigint) accepted_answer",
         "if(id < 2, null, if(id < 2090, 0, 7)) parent_id", "int(id % 5) * 0 score", "'Java' tag")
-    found = postings.grouped_posting_blocks(posts, 50, salt=4).collect()
+    found = postings.grouped_posting_blocks(posts, 50).collect()
     assert {(r["qid"], r["n_answers"]) for r in found} == {(0, 2088)}  # 1 is unanswered, 7 is no question
     assert all(r["n"] == len(r["answers"]) <= 150 for r in found) and len(found) > 30
     got = sorted((a["id"], a["score"]) for r in found for a in r["answers"])
