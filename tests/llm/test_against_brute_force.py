@@ -204,7 +204,7 @@ def test_zones():
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.integers(0, 3), min_size=1, max_size=60), st.lists(st.integers(0, 3), min_size=1, max_size=60))
+@given(st.lists(st.integers(0, 3), max_size=60), st.lists(st.integers(0, 3), max_size=60))
 def test_repeats_against_counting(a, b):
     pages = [np.array(x, np.uint64) + np.uint64(1) for x in (a, b)]
     seen = collections.defaultdict(set)
