@@ -15,6 +15,7 @@ per document.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,10 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import map_arrow, running_start, scratch_path, scratch_table
+from quire.llm.common import map_arrow, numbered, place, running_start, scratch_path, scratch_table
 from quire.llm.words import coded, slices, words_of
 
 WINDOW = 10
+WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 SHARD_BYTES = 4 << 20
 STEP = 16
 #: Bytes of benchmark text searched for together; a larger benchmark is searched in blocks.
@@ -49,7 +51,7 @@ def suffix_order(codes: np.ndarray) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for k in range(reach):
         key <<= width
-        key[:n - k] |= codes[k:]
+        key[:max(0, n - k)] |= codes[k:]
     order = np.argsort(key)
     first = np.ones(n, bool)
     sorted_key = key[order]
@@ -80,8 +82,8 @@ class Wavelet:
         self.zeros = n - np.array([self._ones(k, np.array([n]))[0] for k in range(levels)], np.int64)
 
     @classmethod
-    def build(cls, symbols: np.ndarray) -> Wavelet:
-        n, levels = len(symbols), max(1, int(symbols.max()).bit_length())
+    def build(cls, symbols: np.ndarray, largest: int) -> Wavelet:
+        n, levels = len(symbols), max(1, largest.bit_length())
         bits = np.zeros((levels, n // 64 + 1), np.uint64)
         for level in range(levels):
             bit = (symbols >> (levels - 1 - level) & 1).astype(bool)
@@ -146,7 +148,7 @@ class Shard:
         narrow = symbols.astype(np.uint16 if n_words < 1 << 16 else np.uint32)
         within = np.arange(len(symbols)) - np.repeat(starts, np.diff(np.append(starts, len(symbols))))
         mark = (within % STEP == 0)[order]
-        return cls(bounds, n_words + 1, Wavelet.build(narrow[order - 1]), Wavelet.build(mark.astype(np.uint8)),
+        return cls(bounds, n_words + 1, Wavelet.build(narrow[order - 1], n_words), Wavelet.build(mark.astype(np.uint8), 1),
                    order[mark].astype(np.uint32))
 
     def back(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -384,3 +386,43 @@ def digest(found: DataFrame) -> DataFrame:
     names = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(names, 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def cleaned(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """`docs` with the spans removed from their texts, other columns as they are.
+
+    A span's words go with what stands between them and up to the next word;
+    texts without a span stay as they are, blanks included. Documents are told
+    apart by id and text, so repeated rows are cleaned alike.
+    """
+    rows = numbered(docs)
+    doc_id, text = place(docs, id_col), place(docs, text_col)
+    keyed = rows.select("*", F.xxhash64(doc_id, text).alias("_h"), F.xxhash64(text, doc_id).alias("_k"))
+    # the spans of each distinct (id, text), found once
+    distinct = keyed.select("_h", "_k", text).dropDuplicates(["_h", "_k"])
+    held = scratch_table(distinct.select("_h", "_k", F.col(text).alias("text"), F.monotonically_increasing_id().alias("n")),
+                         "distinct-texts")
+    found = decontaminate(held, benchmark, "n", "text", **how).where("n_hit > 0").select(
+        F.col("doc_id").alias("n"), "spans")
+    found = held.select("n", "_h", "_k").join(found, "n").select("_h", "_k", "spans")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            texts = [without(t, s) if s else t for t, s in zip(batch.column(at).to_pylist(), batch.column("spans").to_pylist())]
+            columns = [pa.array(texts, pa.string()) if k == at else c for k, c in enumerate(batch.columns[:-1])]
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
+
+    joined = keyed.join(found, ["_h", "_k"], "left").select(*rows.columns, "spans")
+    return map_arrow(joined, run, rows.schema).toDF(*docs.columns)
+
+
+def without(text: str, spans: list[dict]) -> str:
+    """A text less the words of each span and what follows up to the next word."""
+    raw = text.encode()
+    begin = [m.start() for m in WORD.finditer(raw)] + [len(raw)]
+    kept, at = [], 0
+    for span in spans:
+        kept.append(raw[at:begin[span["start"]]])
+        at = begin[span["end"]]
+    return b"".join([*kept, raw[at:]]).decode()
