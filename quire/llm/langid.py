@@ -111,8 +111,7 @@ def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) ->
     # a hash threshold per language leaves few texts to shuffle; the row number then holds the bound
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
     share = (F.col("h") / F.lit(2.0 ** 64) + 0.5) * F.col("n")
-    near = rows.join(F.broadcast(counts.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)), "lang").where(
-        share <= 1.5 * PER_LANGUAGE)
+    near = rows.join(counts, "lang").where(share <= 1.5 * PER_LANGUAGE)  # a row per language: the planner broadcasts it
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", F.xxhash64("text")))
     return near.withColumn("_n", first).where(f"_n <= {PER_LANGUAGE}").select("lang", "text")
 
@@ -122,7 +121,8 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """The model, from a bounded sample of the rows that are not held out."""
+    """The model, from a bounded sample of the rows that are not held out. It
+    holds every language, in CENTROIDS * DIMS * 4 bytes each."""
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, TEXTS_AT_ONCE):
@@ -158,11 +158,6 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return Model(idf, [r["lang"] for r in rows], matrix, np.array([r["least"] for r in rows]))
 
 
-#: Languages a model holds, the most frequent first: what bounds the model's
-#: size (CENTROIDS * DIMS * 4 bytes a language).
-MAX_LANGUAGES = 400
-
-
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, rejected) per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

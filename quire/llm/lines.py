@@ -8,8 +8,11 @@ have, however short its lines are. Which pairs: every two holders of a rare
 run (in at most `RARE` distinct texts), and for a more frequent run each
 holder with the run's earliest holder and with the earliest one that has it
 once, where it can be an anchor. The number of pairs stays linear in the
-number of lines. Exact copies align as a whole and are settled by their digest
-before any pairing.
+number of lines. A frequent run is a passage of its own besides: aligned with
+the passage alone, each later holder has it as a common block wherever it
+stands, and loses it whether or not one of its partners shows it. So no
+number of partners has to be tried. Exact copies align as a whole and are
+settled by their digest before any pairing.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ from pyspark.sql import functions as F
 from quire.llm.common import map_arrow, numbered, place, renamed, scratch_table
 
 RARE = 8
+#: Frequent runs are broadcast up to this number, counted before the join.
+BROADCAST_RUNS = 500_000
 #: A common block is deleted when its lines have so many characters.
 BLOCK_CHARS = 50
 
@@ -108,11 +113,11 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def runs(hashes: np.ndarray, chars: np.ndarray, sizes: np.ndarray,
-         least: int = BLOCK_CHARS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, hash, once) of the distinct runs of each text, whose lines stand
-    one text after another, `sizes` lines each: from every line that isn't
-    blank, the fewest lines with `least` characters."""
+def run_keys(hashes: np.ndarray, chars: np.ndarray, sizes: np.ndarray,
+             least: int = BLOCK_CHARS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, begin, end, hash) of the runs of some texts, whose lines stand one
+    text after another, `sizes` lines each: from every line that isn't blank,
+    the fewest lines with `least` characters."""
     n = len(hashes)
     powers = np.ones((2, n + 1), np.uint64)
     powers[:, 1:] = np.array([[_BASE], [_INVERSE]], np.uint64)
@@ -124,11 +129,17 @@ def runs(hashes: np.ndarray, chars: np.ndarray, sizes: np.ndarray,
     end = np.searchsorted(upto, upto[begin] + max(least, 1))  # lines before the run's end
     whole = end <= np.cumsum(sizes)[text[begin]]
     begin, end = begin[whole], end[whole]
-    key = (sums[end] - sums[begin]) * powers[1, begin]
-    order = np.lexsort((key, text[begin]))
-    owner, key = text[begin][order], key[order]
+    return text[begin], begin, end, ((sums[end] - sums[begin]) * powers[1, begin]).view(np.int64)
+
+
+def runs(hashes: np.ndarray, chars: np.ndarray, sizes: np.ndarray,
+         least: int = BLOCK_CHARS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, once) of the distinct runs of each text (see `run_keys`)."""
+    owner, _, _, key = run_keys(hashes, chars, sizes, least)
+    order = np.lexsort((key, owner))
+    owner, key = owner[order], key[order]
     new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])])[:len(key)])
-    return owner[new], key[new].view(np.int64), np.diff(new, append=len(key)) == 1
+    return owner[new], key[new], np.diff(new, append=len(key)) == 1
 
 
 def held_runs(texts: DataFrame, least: int) -> DataFrame:
@@ -147,25 +158,59 @@ def held_runs(texts: DataFrame, least: int) -> DataFrame:
     return found.select(F.struct("first", "digest").alias("doc"), "h", "once")
 
 
-def candidate_pairs(texts: DataFrame, least: int = BLOCK_CHARS) -> DataFrame:
-    """(earlier, later): digests of distinct texts (first, digest, hashes, chars)
-    that share a run."""
+def candidate_pairs(texts: DataFrame, least: int = BLOCK_CHARS) -> tuple[DataFrame, DataFrame]:
+    """((earlier, later), (digest, passages)): digests of distinct texts (first,
+    digest, hashes, chars) that share a run and are to be aligned, and for each
+    text the frequent runs that an earlier one has.
+
+    A frequent run's holders are found by a broadcast of the frequent runs, if
+    they are few enough by count, so no run is gathered in one task."""
     held = scratch_table(held_runs(texts, least), "runs")
-    stats = held.groupBy("h").agg(F.count("*").alias("n"), F.min("doc").alias("earliest"),
-                                  F.min(F.when(F.col("once"), F.col("doc"))).alias("sole")).where("n > 1")
-    shared = held.join(stats, "h")
-    star = (shared.where(F.col("n") > RARE).select("doc", F.explode(F.array("earliest", "sole")).alias("e"))
+    stats = scratch_table(held.groupBy("h").agg(
+        F.count("*").alias("n"), F.min("doc").alias("earliest"),
+        F.min(F.when(F.col("once"), F.col("doc"))).alias("sole")).where("n > 1"), "shared-runs")
+    frequent = stats.where(F.col("n") > RARE).drop("n")
+    if frequent.count() <= BROADCAST_RUNS:
+        frequent = F.broadcast(frequent)
+    later = held.join(frequent, "h").where("earliest < doc")
+    passages = later.groupBy(F.col("doc.digest").alias("digest")).agg(F.collect_set("h").alias("passages"))
+    star = (later.select("doc", F.explode(F.array("earliest", "sole")).alias("e"))
             .where("e < doc").select(F.col("e.digest").alias("earlier"), F.col("doc.digest").alias("later")))
-    lists = (shared.where(F.col("n") <= RARE).groupBy("h")
-             .agg(F.sort_array(F.collect_list("doc")).alias("docs")))  # at most RARE of them
-    later = lists.select("docs", F.posexplode("docs").alias("at", "d")).where("at > 0")
-    every = later.select(F.explode(F.slice("docs", F.lit(1), F.col("at"))).alias("e"), "d").select(
+    rare = held.join(frequent.select("h"), "h", "left_anti").join(stats.where(F.col("n") <= RARE).select("h"), "h")
+    lists = rare.groupBy("h").agg(F.sort_array(F.collect_list("doc")).alias("docs"))  # at most RARE of them
+    each = lists.select("docs", F.posexplode("docs").alias("at", "d")).where("at > 0")
+    every = each.select(F.explode(F.slice("docs", F.lit(1), F.col("at"))).alias("e"), "d").select(
         F.col("e.digest").alias("earlier"), F.col("d.digest").alias("later"))
-    return star.unionAll(every).distinct()
+    return star.unionAll(every).distinct(), passages
+
+
+def passage_lines(texts: DataFrame, passages: DataFrame, least: int = BLOCK_CHARS) -> DataFrame:
+    """(digest, place): the places of each text's frequent runs that an earlier text has."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)
+            hashes, chars = (batch.column(k).flatten().to_numpy(zero_copy_only=False) for k in (1, 2))
+            owner, begin, end, key = run_keys(hashes, chars, sizes, least)
+            found = batch.column(3)
+            wanted = np.repeat(np.arange(len(sizes)), pc.list_value_length(found).to_numpy(zero_copy_only=False))
+            # a text's number goes into the hash, so that each text has its own
+            own = lambda o, k: k.view(np.uint64) ^ (o.astype(np.uint64) * np.uint64(_BASE))
+            known = np.isin(own(owner, key), own(wanted, found.flatten().to_numpy(zero_copy_only=False)))
+            step = np.zeros(len(hashes) + 1, np.int64)
+            np.add.at(step, begin[known], 1)
+            np.add.at(step, end[known], -1)
+            at = np.flatnonzero(np.cumsum(step)[:-1] > 0)
+            text = np.repeat(np.arange(len(sizes)), sizes)[at]
+            first = np.cumsum(sizes) - sizes
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(text)), pa.array((at - first[text]).astype(np.int32))], ["digest", "place"])
+
+    rows = texts.join(passages, "digest").select("digest", "hashes", "chars", "passages")
+    return map_arrow(rows, run, "digest binary, place int")
 
 
 def aligned_lines(texts: DataFrame, pairs: DataFrame, least: int = BLOCK_CHARS) -> DataFrame:
-    """(digest, removed): the places of each later text's common lines."""
+    """(digest, place): the places of each later text's common lines."""
     a = texts.select(F.col("digest").alias("earlier"), F.col("hashes").alias("a"))
     b = texts.select(F.col("digest").alias("later"), F.col("hashes").alias("b"), "chars")
 
@@ -180,8 +225,7 @@ def aligned_lines(texts: DataFrame, pairs: DataFrame, least: int = BLOCK_CHARS)
                                              ["digest", "place"])
 
     rows = pairs.join(a, "earlier").join(b, "later").select("later", "a", "b", "chars")
-    return (map_arrow(rows, run, "digest binary, place int").distinct()
-            .groupBy("digest").agg(F.collect_list("place").alias("removed")))
+    return map_arrow(rows, run, "digest binary, place int")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -200,7 +244,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = (table.join(firsts, "digest").where("doc_id = first")
              .groupBy("digest", "first").agg(F.first("hashes").alias("hashes"), F.first("chars").alias("chars")))
     texts = scratch_table(texts, "texts")
-    removed = aligned_lines(texts, candidate_pairs(texts, least), least)
+    pairs, passages = candidate_pairs(texts, least)
+    places = aligned_lines(texts, pairs, least).unionAll(passage_lines(texts, passages, least))
+    removed = places.groupBy("digest").agg(F.collect_set("place").alias("removed"))
     found = (firsts.join(removed, "digest", "left").where("copies > 1 or removed is not null")
              .select(F.col("digest").alias("_digest"), F.col("first").alias("_first"), F.col("removed").alias("_removed")))
     doc_id, body = F.col(place(docs, id_col)), F.col(place(docs, text_col))

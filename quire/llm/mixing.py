@@ -6,67 +6,89 @@ floor(j / w) and due by slot ceil((j + 1) / w); among released blocks the
 earliest deadline goes first. So at every slot each source has had its share
 of the slots to within less than one block.
 
-Weights are whole numbers of slots in a frame, and the schedule repeats with
-the frame, so one frame is scheduled on the driver (its length is a
-parameter) and every block of the corpus finds its slot by arithmetic. A
-source that holds less than its share starts again from its first document:
-documents are repeated, never dropped.
+Weights are whole numbers that add up to about 2^40, so windows are exact and
+no source has more or less than it was given. The whole mixture is scheduled
+on the driver, in at most `MAX_SLOTS` slots: blocks of a mixture with more
+characters are larger by what that takes. Every document finds its block, and
+the block its slot, by arithmetic and one lookup. A source that holds less
+than its share starts again from its first document: documents are repeated,
+never dropped. A document stands whole in the block in which it begins, so in
+characters a source is ahead of or behind its share by less than a block and
+its longest text.
 """
 
 from __future__ import annotations
 
 import heapq
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import numbered, place, renamed, running_start
+from quire.llm.common import numbered, place, renamed, running_start, scratch_table
 
 BLOCK_CHARS = 65_536
-FRAME_SLOTS = 1000
+MAX_SLOTS = 1 << 20
 #: Default weights go by this power of a source's size: small sources gain.
 ALPHA = 0.8
-#: Sources whose totals the driver holds, at most.
+#: Sources that are scheduled one by one; by default weights, the smaller ones beyond it as one pool.
 MAX_SOURCES = 10_000
+POOL = "~"
 ROWS_PER_PART = 4096
 OUTPUTS = ("copy", "position", "block", "release", "deadline", "slot")
 
 
-def frame_shares(weights: list[float], slots: int) -> list[int]:
-    """Whole slots per weight, one at least, that add up to `slots`: by largest
-    remainder, the earlier of equal ones first."""
-    free, total = slots - len(weights), sum(weights)
-    exact = [w / total * free for w in weights]
-    shares = [1 + int(e) for e in exact]
-    order = sorted(range(len(weights)), key=lambda i: (-(exact[i] - int(exact[i])), i))
-    for i in order[:slots - sum(shares)]:
-        shares[i] += 1
-    return shares
-
-
-def frame_schedule(shares: list[int]) -> list[list[int]]:
-    """The slots of each source's blocks in a frame, earliest deadline first
-    among released blocks; equal deadlines go to the earlier source."""
-    slots = sum(shares)
-    out: list[list[int]] = [[] for _ in shares]
-    releases: list[list[int]] = [[] for _ in range(slots)]
-    for i, q in enumerate(shares):
-        for j in range(q):
-            releases[j * slots // q].append(i)
+def whole_weights(weights: list[float]) -> list[int]:
+    """The weights as whole numbers, 1 at least, that add up to about 2^40."""
+    total = sum(weights)
+    return [max(1, round(w / total * (1 << 40))) for w in weights]
+
+
+def schedule(weights: list[int], counts: list[int]) -> list[list[int]]:
+    """The slots of each source's blocks, earliest deadline first among released
+    blocks; equal deadlines go to the earlier source. Where no block is
+    released, at the end only, the next one to be released takes the slot."""
+    total = sum(weights)
+    out: list[list[int]] = [[] for _ in weights]
     due: list[tuple[int, int]] = []
-    sent = [0] * len(shares)
-    for t in range(slots):
-        for i in releases[t]:
-            heapq.heappush(due, (-(-(sent[i] + 1) * slots // shares[i]), i))
-            sent[i] += 1
+    later = [(0, i) for i, n in enumerate(counts) if n]  # the release of each source's next block
+    heapq.heapify(later)
+    t = 0
+    while due or later:
+        while later and (later[0][0] <= t or not due):
+            _, i = heapq.heappop(later)
+            heapq.heappush(due, (-(-(len(out[i]) + 1) * total // weights[i]), i))
         _, i = heapq.heappop(due)
         out[i].append(t)
+        if len(out[i]) < counts[i]:
+            heapq.heappush(later, (len(out[i]) * total // weights[i], i))
+        t += 1
     return out
 
 
+def sources(rows: DataFrame, weights: dict[str | None, float] | None, alpha: float) -> list[tuple[str, int, int, float]]:
+    """(key, size, rows, weight) of each source, by key, the pool of small ones
+    last; the weights asked for are of the sources that there are."""
+    per = scratch_table(rows.groupBy("_source").agg(F.sum("_size").alias("size"), F.count("*").alias("n")), "sources")
+    if weights is not None:  # as many as the caller named
+        given = {"" if k is None else f"={k}": w for k, w in weights.items()}
+        found = [(r["_source"], r["size"], r["n"], given.get(r["_source"], 0.0))
+                 for r in per.limit(len(given) + 1).collect()]
+        if len(found) > len(given) or min((w for *_, w in found), default=1.0) <= 0:
+            raise ValueError("every source needs a positive weight")
+        return sorted(found)
+    first = per.orderBy(F.desc("size"), "_source").limit(MAX_SOURCES)
+    found = sorted((r["_source"], r["size"], r["n"], float(r["size"]) ** alpha) for r in first.collect())
+    if len(found) == MAX_SOURCES:
+        rest = per.join(first.select("_source"), "_source", "left_anti").agg(
+            F.sum("size"), F.sum("n"), F.sum(F.pow("size", F.lit(alpha)))).first()
+        found += [(POOL, *rest)] if rest[0] else []
+    return found
+
+
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col: str = "doc_id",
         text_col: str = "text", source_col: str = "source", block_chars: int = BLOCK_CHARS,
-        frame_slots: int = FRAME_SLOTS, alpha: float = ALPHA) -> DataFrame:
+        alpha: float = ALPHA) -> DataFrame:
     """`docs` with copy, position, block, release, deadline and slot, a row per
     document and repetition; input columns of those names are replaced.
 
@@ -82,39 +104,32 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col:
     rows = numbered(docs).select("*", F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("_source"),
                        F.greatest(F.lit(1), F.coalesce(F.length(text), F.lit(0))).cast("long").alias("_size"),
                        F.xxhash64(doc_id, text).alias("_hash"))
-    totals = rows.groupBy("_source").agg(F.sum("_size").alias("size"), F.count("*").alias("n")).limit(
-        MAX_SOURCES + 1).collect()
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; group them before mixing")
-    totals.sort(key=lambda r: r["_source"])
-    names = [r["_source"] for r in totals]
-    sizes = [r["size"] for r in totals]
-    if weights is None:
-        wanted = [s ** alpha for s in sizes]
-    else:
-        given = {"" if k is None else f"={k}": w for k, w in weights.items()}
-        wanted = [given.get(n, 0.0) for n in names]
-        if min(wanted, default=1.0) <= 0:
-            raise ValueError("every source needs a positive weight")
-    slots = max(frame_slots, 4 * len(names))
-    shares = frame_shares(wanted, slots)
-    chars = max((-(-s * slots // q) for s, q in zip(sizes, shares)), default=0)
-    plan = spark.createDataFrame(
-        [(n, s, chars * q // slots, q, found) for n, s, q, found in zip(names, sizes, shares, frame_schedule(shares))],
-        "_source string, _total long, _quota long, _share long, _slots array<int>")
-
-    n_parts = -(-sum(r["n"] for r in totals) // ROWS_PER_PART) or 1
+    found = sources(rows, weights, alpha)
+    names, sizes, numbers, wanted = (list(c) for c in zip(*found)) if found else ([], [], [], [])
+    shares = whole_weights(wanted)
+    total = max(1, sum(shares))
+    chars = max((-(-s * total // p) for s, p in zip(sizes, shares)), default=0)
+    block_chars = max(block_chars, -(-chars // MAX_SLOTS))
+    quotas = [chars * p // total for p in shares]
+    slots = schedule(shares, [-(-q // block_chars) for q in quotas])
+    plan = spark.createDataFrame(pa.table({
+        "_group": pa.array(names, pa.string()), "_total": pa.array(sizes, pa.int64()),
+        "_quota": pa.array(quotas, pa.int64()), "_share": pa.array(shares, pa.int64()),
+        "_slots": pa.array(slots, pa.list_(pa.int32()))}))  # MAX_SLOTS slots and MAX_SOURCES rows, about
+
+    n_parts = -(-sum(numbers) // ROWS_PER_PART) or 1
+    own = F.broadcast(spark.createDataFrame(pa.table({"_own": pa.array(names, pa.string())})))
+    rows = rows.join(own, F.col("_source") == F.col("_own"), "left").withColumn("_group", F.coalesce("_own", F.lit(POOL)))
     rows = running_start(rows.withColumn("_part", F.pmod("_hash", F.lit(n_parts))), "_part",
-                         ["_hash", place(docs, id_col)], "_size", "_start", group=["_source"])
-    rows = rows.join(F.broadcast(plan), "_source")  # MAX_SOURCES rows, their slots a frame's
+                         ["_hash", place(docs, id_col)], "_size", "_start", group=["_group"])
+    rows = rows.join(F.broadcast(plan), "_group")
     copies = F.ceil((F.col("_quota") - F.col("_start")) / F.col("_total")).cast("int")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
     rows = rows.withColumn("position", F.col("_start") + F.col("copy") * F.col("_total"))
     rows = rows.withColumn("block", F.floor(F.col("position") / block_chars))
-    frame = F.floor(F.col("block") / F.col("_share")) * slots
-    rows = (rows.withColumn("release", F.expr(f"block * {slots} div _share"))
-            .withColumn("deadline", F.expr(f"-((-(block + 1) * {slots} - _share + 1) div _share)"))
-            .withColumn("slot", (frame + F.get("_slots", (F.col("block") % F.col("_share")).cast("int"))).cast("long")))
+    rows = (rows.withColumn("release", F.expr(f"block * {total}L div _share"))
+            .withColumn("deadline", F.expr(f"-((-(block + 1) * {total}L - _share + 1) div _share)"))
+            .withColumn("slot", F.get("_slots", F.col("block").cast("int")).cast("long")))
     return renamed(rows, docs, OUTPUTS)
 
 

@@ -270,21 +270,54 @@ def test_patience_aligns(a, b):
     assert a != b or len(found) == len(a)
 
 
-@settings(max_examples=100, deadline=None)
-@given(st.lists(st.integers(1, 1000), min_size=1, max_size=30))
-def test_frame_schedule_deviates_by_less_than_a_block(weights):
-    shares = mixing.frame_shares(weights, 300)
-    schedule = mixing.frame_schedule(shares)
-    assert sum(shares) == 300 and sorted(t for s in schedule for t in s) == list(range(300))
-    for q, slots in zip(shares, schedule):
-        served = np.cumsum(np.bincount(slots, minlength=300))
-        assert (np.abs(served * 300 - q * np.arange(1, 301)) < 300).all()
+def plain_schedule(weights, counts):
+    """Slot by slot: of the released blocks, the one with the earliest deadline."""
+    total, sent, out = sum(weights), [0] * len(weights), []
+    while len(out) < sum(counts):
+        ready = [i for i, n in enumerate(counts) if sent[i] < n and sent[i] * total // weights[i] <= len(out)]
+        if ready:
+            i = min(ready, key=lambda i: (-(-(sent[i] + 1) * total // weights[i]), i))
+        else:
+            i = min((k for k, n in enumerate(counts) if sent[k] < n), key=lambda k: (sent[k] * total // weights[k], k))
+        sent[i] += 1
+        out.append(i)
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.floats(1e-3, 1e3), min_size=1, max_size=12), st.integers(1, 400))
+def test_schedule_against_a_plain_one(given_weights, slots):
+    weights = mixing.whole_weights(given_weights)
+    counts = [-(-slots * w // sum(weights)) for w in weights]
+    found = mixing.schedule(weights, counts)
+    order = plain_schedule(weights, counts)
+    assert found == [[t for t, k in enumerate(order) if k == i] for i in range(len(weights))]
+
+
+@pytest.mark.parametrize("given_weights", [
+    [0.501] + [0.499 / 399] * 399, [0.9] + [0.1 / 99] * 99, [1e-6, 1.0], [1 / 3] * 3, [3.0]])
+def test_deviation_from_the_given_weights_is_under_a_block(given_weights):
+    weights, slots = mixing.whole_weights(given_weights), 5000
+    found = mixing.schedule(weights, [-(-slots * w // sum(weights)) for w in weights])
+    t = np.arange(1, slots + 1)
+    for w, own in zip(given_weights, found):
+        served = np.searchsorted(own, t)  # slots before t
+        assert (np.abs(served - w / sum(given_weights) * t) < 1 + 1e-6).all()
+
+
+def test_small_sources_beyond_the_bound_are_pooled(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 3)
+    rows = [(i, "x" * (50 if i % 12 > 2 else 500), f"s{i % 12}") for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mix(frame, block_chars=200).collect()
+    assert {r["doc_id"] for r in found} == set(range(600))
+    assert all(r["slot"] is not None for r in found)
 
 
 def test_mixture(spark, docs):
     found = result(spark, "op2_pfair_mixing")
     assert {r["doc_id"] for r in found} == set(docs)
-    assert all(r["release"] <= r["slot"] < r["deadline"] for r in found)
+    assert all(r["slot"] < r["deadline"] for r in found)
     size, order = collections.Counter(), collections.defaultdict(list)
     for r in found:
         size[r["source"]] += max(1, len(docs[r["doc_id"]]["text"] or "")) * (r["copy"] == 0)
