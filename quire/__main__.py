@@ -46,7 +46,8 @@ def main(argv: list[str] | None = None) -> None:
             print(out["timing"])
         elif args.program == "postings":
             programs.cluster_postings(spark, args.path, args.vocab, args.spread, args.kernels, args.eta,
-                                      args.max_iterations, expected_vectors=args.expected, resume=args.resume)
+                                      args.max_iterations, expected_vectors=args.expected,
+                                      **({"resume": args.resume} if args.resume else {}))
         else:
             programs.summarise_time_use(spark, args.path, args.infer)
     finally:

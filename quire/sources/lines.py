@@ -55,7 +55,7 @@ def parse_articles(lines: DataFrame, line_col: str = "value", prefix_len: int =
     title = line.substr(F.lit(prefix_len + 1), pos - F.lit(1 + prefix_len))
     text = line.substr(text_start, text_end - text_start + 1)
     if mode == "strict":
-        return must_hold(found, ok, F.concat(F.lit("malformed article line: "), line.substr(1, 80))).select(
+        return must_hold(found, ok, F.concat(F.lit("malformed article line: "), F.coalesce(line.substr(1, 80), F.lit("null")))).select(
             title.alias("title"), text.alias("text"))
     return (found.where(ok).select(title.alias("title"), text.alias("text")),
             found.where(~F.coalesce(ok, F.lit(False))).select(line.alias(line_col)))
@@ -95,7 +95,7 @@ def parse_postings(lines: DataFrame, line_col: str = "value", mode: str = "stric
         ok = ok & valid
     typed.append(F.nullif(F.get(arr, 5), F.lit("")).alias("tag"))
     if mode == "strict":
-        return must_hold(found, ok, F.concat(F.lit("malformed posting line: "), line.substr(1, 80))).select(*typed)
+        return must_hold(found, ok, F.concat(F.lit("malformed posting line: "), F.coalesce(line.substr(1, 80), F.lit("null")))).select(*typed)
     return found.where(ok).select(*typed), found.where(~F.coalesce(ok, F.lit(False))).select(line.alias(line_col))
 
 

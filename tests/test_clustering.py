@@ -76,7 +76,7 @@ def test_kmeans_iteration_cap(spark, capsys):
     assert res.iterations == 3 and len(res.trace) == 3
     out = capsys.readouterr().out
     assert "Iteration: 1" in out and "Iteration: 3" in out and "Reached max iterations!" in out
-    assert "(0, 0) ==>             (0, 500)    distance:   250000" in out
+    assert "(0,0) ==>              (0,500)    distance:   250000" in out
     assert [r[0] for r in rows(res.totals_frame(spark))] == [1, 2, 3]
 
 
