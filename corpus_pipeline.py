@@ -38,7 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of power-of-two length, with the crc32 of their ids; their
     numbers follow the mixture's slots, the order in which its rows were written."""
-    return packing.digest(packing.pack(docs, file_order=True))
+    return packing.in_file_order(packing.digest(packing.pack(docs, places=True)))
 
 
 STAGES = [

@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from quire.llm import mixing
+from quire.llm import mixing, packing
 
 
 def test_sequences_follow_the_slots(spark, tmp_path):
@@ -27,3 +27,17 @@ def test_sequences_follow_the_slots(spark, tmp_path):
     for r in sorted(packed, key=lambda r: r["sequence_id"]):  # a document's pieces are neighbours, in order
         assert r["start"] == at.get(r["doc_id"], 0)
         at[r["doc_id"]] = (r["start"] + r["length"]) % r["doc_tokens"]
+
+
+def test_numbers_are_unique_over_partition_folders(spark, tmp_path):
+    rows = [(i, "word " * (i % 7 + 1), f"s{i % 4}") for i in range(80)]
+    path = str(tmp_path / "parts")
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3).write.partitionBy("source").parquet(path)
+    docs = spark.read.parquet(path)
+    assert len({f.rsplit("/", 1)[-1] for f in docs.inputFiles()}) < len(docs.inputFiles())
+    packed = packing.in_file_order(packing.digest(packing.pack(docs, places=True))).collect()
+    assert sorted(r["sequence_id"] for r in packed) == list(range(len(packed))) and len(packed) >= 80
+    assert {r["doc_id"] for r in packed} == set(range(80))
+    memory = spark.createDataFrame(rows, "doc_id long, text string, source string")  # no files
+    alike = packing.in_file_order(packing.digest(packing.pack(memory, places=True)))
+    assert alike.columns == [c for c in packing.digest(packing.pack(memory)).columns] and alike.count() == len(packed)
