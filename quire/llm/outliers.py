@@ -45,6 +45,8 @@ CUTOFF = 50.0
 #: Groups with fewer documents are pooled by language, then over all.
 MIN_GROUP = 40
 BINS_PER_E = 32
+#: Rows of groups' parameters that are broadcast, by count; more meet the documents in a shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def words_of(text: Column) -> Column:
@@ -99,19 +101,25 @@ def vectors(stats: DataFrame) -> DataFrame:
 def with_groups(marked: DataFrame) -> DataFrame:
     """`marked` with its estimation group `grp`: language and source; small
     ones pooled by language, then over all; null if still under MIN_GROUP."""
-    counts = (marked.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("n")))
+    counts = scratch_table(marked.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("n")), "groups")
     small = F.when(F.col("n") < MIN_GROUP, F.col("n")).otherwise(0)
-    counts = counts.withColumn("pool", F.sum(small).over(Window.partitionBy("lang")))
+    pools = counts.groupBy(F.col("lang").alias("_l")).agg(F.sum(small).alias("pool"))
+    counts = counts.join(pools, F.col("lang").eqNullSafe(F.col("_l"))).drop("_l")
     rest = F.when((F.col("n") < MIN_GROUP) & (F.col("pool") < MIN_GROUP), F.col("n")).otherwise(0)
-    counts = counts.withColumn("left", F.sum(rest).over(Window.partitionBy(F.lit(0))))
+    (left,) = counts.agg(F.coalesce(F.sum(rest), F.lit(0))).first()
     grp = (F.when(F.col("n") >= MIN_GROUP, F.to_json(F.struct("lang", "source")))
            .when(F.col("pool") >= MIN_GROUP, F.to_json(F.struct("lang")))
-           .when(F.col("left") >= MIN_GROUP, F.lit("all")))
-    keys = counts.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), grp.alias("grp"))
+           .when(F.lit(left) >= MIN_GROUP, F.lit("all")))
+    keys = few(counts.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), grp.alias("grp")), counts)
     return (marked.join(keys, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
             .drop("_l", "_s"))
 
 
+def few(df: DataFrame, counted: DataFrame) -> DataFrame:
+    """`df` to be broadcast, if `counted`, which has as many rows, is small."""
+    return F.broadcast(df) if counted.count() <= BROADCAST_ROWS else df
+
+
 def start(rows: DataFrame) -> DataFrame:
     """(grp, start, m1..m4, c11..c44, logdet, moving): the centres and variances
     of `STARTS`, from coordinate quartiles to a thousandth."""
@@ -157,7 +165,7 @@ def with_factor(params: DataFrame) -> DataFrame:
 
 def with_distance(rows: DataFrame, params: DataFrame) -> DataFrame:
     """`rows` with the squared distance `d2` to the centre of each `start` of their group."""
-    joined = rows.join(with_factor(params), F.col("grp") == F.col("_grp"), "left")
+    joined = rows.join(few(with_factor(params), params), F.col("grp") == F.col("_grp"), "left")
     for i, name in enumerate(VECTOR):
         z = F.col(name) - F.col(f"m{i + 1}")
         for k in range(i):
