@@ -9,9 +9,9 @@ run (in at most `RARE` distinct texts), and for a more frequent run each
 holder with the run's earliest holder and with the earliest one that has it
 once, where it can be an anchor. The number of pairs stays linear in the
 number of lines. A frequent run is a passage of its own besides: aligned with
-the passage alone, each later holder has it as a common block wherever it
-stands, and loses it whether or not one of its partners shows it. So no
-number of partners has to be tried. Exact copies align as a whole and are
+the passage alone, as the earliest text has it that has it once, each later
+holder has it as a common block wherever it stands, and loses it whether or
+not one of its partners shows it. So no number of partners has to be tried. Exact copies align as a whole and are
 settled by their digest before any pairing.
 """
 
@@ -161,7 +161,7 @@ def held_runs(texts: DataFrame, least: int) -> DataFrame:
 def candidate_pairs(texts: DataFrame, least: int = BLOCK_CHARS) -> tuple[DataFrame, DataFrame]:
     """((earlier, later), (digest, passages)): digests of distinct texts (first,
     digest, hashes, chars) that share a run and are to be aligned, and for each
-    text the frequent runs that an earlier one has.
+    text the frequent runs that an earlier one has once.
 
     A frequent run's holders are found by a broadcast of the frequent runs, if
     they are few enough by count, so no run is gathered in one task."""
@@ -173,7 +173,7 @@ def candidate_pairs(texts: DataFrame, least: int = BLOCK_CHARS) -> tuple[DataFra
     if frequent.count() <= BROADCAST_RUNS:
         frequent = F.broadcast(frequent)
     later = held.join(frequent, "h").where("earliest < doc")
-    passages = later.groupBy(F.col("doc.digest").alias("digest")).agg(F.collect_set("h").alias("passages"))
+    passages = later.where("sole < doc").groupBy(F.col("doc.digest").alias("digest")).agg(F.collect_set("h").alias("passages"))
     star = (later.select("doc", F.explode(F.array("earliest", "sole")).alias("e"))
             .where("e < doc").select(F.col("e.digest").alias("earlier"), F.col("doc.digest").alias("later")))
     rare = held.join(frequent.select("h"), "h", "left_anti").join(stats.where(F.col("n") <= RARE).select("h"), "h")
