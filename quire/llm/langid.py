@@ -26,6 +26,8 @@ CENTROIDS = 3
 ROUNDS = 8
 #: Labelled texts drawn per language to fit the classifier, at most.
 PER_LANGUAGE = 1000
+#: Rows of languages' counts that are broadcast, by count.
+BROADCAST_LANGUAGES = 100_000
 #: A text is rejected when its cosine is under this share of the lowest
 #: percentile of its language's sample. A text of fewer than `FULL` different
 #: grams can't come as near, so its limit shrinks with the root of their number.
@@ -109,9 +111,11 @@ def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) ->
         "lang is not null and text is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
     rows = rows.withColumn("h", F.xxhash64("doc_id"))
     # a hash threshold per language leaves few texts to shuffle; the row number then holds the bound
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = scratch_table(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    if counts.count() <= BROADCAST_LANGUAGES:  # else the texts meet their languages' counts in a shuffle
+        counts = F.broadcast(counts)
     share = (F.col("h") / F.lit(2.0 ** 64) + 0.5) * F.col("n")
-    near = rows.join(counts, "lang").where(share <= 1.5 * PER_LANGUAGE)  # a row per language: the planner broadcasts it
+    near = rows.join(counts, "lang").where(share <= 1.5 * PER_LANGUAGE)
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", F.xxhash64("text")))
     return near.withColumn("_n", first).where(f"_n <= {PER_LANGUAGE}").select("lang", "text")
 
