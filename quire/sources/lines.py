@@ -84,19 +84,21 @@ def parse_postings(lines: DataFrame, line_col: str = "value", mode: str = "stric
     """
     if mode not in ("strict", "permissive"):
         raise ValueError("mode must be 'strict' or 'permissive'")
+    # two generators: the line is split once, and each field cast once for check and result
     found = lines.select(F.col(line_col).alias("_line"), once(F.split(F.col(line_col), ",")).alias("_fields"))
-    line, arr = F.col("_line"), F.col("_fields")
-    typed, ok = [], F.lit(True)
-    for i, (name, dtype, optional) in enumerate(POSTING_FIELDS):
-        text = F.get(arr, i)
-        value = F.nullif(text, F.lit("")).try_cast(dtype)
-        valid = text.isNotNull() & ((text == "") | value.isNotNull()) if optional else value.isNotNull()
-        typed.append(value.alias(name))
-        ok = ok & valid
-    typed.append(F.nullif(F.get(arr, 5), F.lit("")).alias("tag"))
+    line, fields = F.col("_line"), [F.get("_fields", i) for i in range(len(POSTING_FIELDS) + 1)]
+    values = [F.nullif(text, F.lit("")).try_cast(dtype).alias(name)
+              for text, (name, dtype, _) in zip(fields, POSTING_FIELDS)]
+    values.append(F.nullif(fields[-1], F.lit("")).alias("tag"))
+    found = found.select("_line", "_fields", once(F.struct(*values)).alias("_posting"))
+    ok = F.lit(True)
+    for text, (name, _, optional) in zip(fields, POSTING_FIELDS):
+        value = F.col(f"_posting.{name}")
+        ok = ok & ((text.isNotNull() & ((text == "") | value.isNotNull())) if optional else value.isNotNull())
     if mode == "strict":
-        return must_hold(found, ok, F.concat(F.lit("malformed posting line: "), F.coalesce(line.substr(1, 80), F.lit("null")))).select(*typed)
-    return found.where(ok).select(*typed), found.where(~F.coalesce(ok, F.lit(False))).select(line.alias(line_col))
+        message = F.concat(F.lit("malformed posting line: "), F.coalesce(line.substr(1, 80), F.lit("null")))
+        return must_hold(found, ok, message).select("_posting.*")
+    return found.where(ok).select("_posting.*"), found.where(~F.coalesce(ok, F.lit(False))).select(line.alias(line_col))
 
 
 def read_postings(spark: SparkSession, path: str, mode: str = "strict"):
