@@ -28,6 +28,8 @@ THRESHOLD = 0.95
 TILE = 2048
 LEADING = 8
 ROWS_AT_ONCE = 512
+#: Neighbouring partitions, and tiles in each, that form a group: 2 to this power.
+GROUP_BITS = 2
 SLACK = 1e-9
 
 
@@ -121,70 +123,100 @@ def tile_pairs(found: DataFrame, dims: int, reach: float) -> DataFrame:
     return met.select(F.least("s", "t").alias("s"), F.greatest("s", "t").alias("t")).distinct()
 
 
-def linked(x: np.ndarray, y: np.ndarray, rotation: np.ndarray, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
+class Side:
+    """A tile's vectors made ready for comparison: unit vectors, rotated ones,
+    and the norms of what the accumulated axes leave."""
+
+    def __init__(self, ids: bytes, times: bytes, data: bytes, rotation: np.ndarray):
+        dims = len(rotation)
+        self.ids, self.times = np.frombuffer(ids, "<i8"), np.frombuffer(times, "<i8")
+        self.unit = unit(np.frombuffer(data, "<f8").reshape(-1, dims))
+        self.rotated = self.unit @ rotation
+        self.ends = sorted({min(k, dims) for k in (LEADING, 2 * LEADING, 4 * LEADING, dims)})
+        self.suffix = [np.sqrt((self.rotated[:, k:] ** 2).sum(axis=1)) for k in self.ends]
+
+
+def linked(x: Side, y: Side, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
     """(first row, links): blocks of rows of x and which rows of y they link to."""
-    ux, uy = unit(x), unit(y)
-    a, b = ux @ rotation, uy @ rotation
-    dims = a.shape[1]
-    ends = sorted({min(k, dims) for k in (LEADING, 2 * LEADING, 4 * LEADING, dims)})
-    suffix = [[np.sqrt((m[:, k:] ** 2).sum(axis=1)) for k in ends] for m in (a, b)]
+    a, b = x.rotated, y.rotated
     for lo in range(0, len(a), ROWS_AT_ONCE):
         rows = slice(lo, lo + ROWS_AT_ONCE)
         product = np.zeros((len(a[rows]), len(b)))
         begin, i = 0, None
-        for step, end in enumerate(ends):
-            left = suffix[0][step][rows]
+        for step, end in enumerate(x.ends):
+            left = x.suffix[step][rows]
             if i is None:
                 product += a[rows, begin:end] @ b[:, begin:end].T
-                near = product + left[:, None] * suffix[1][step] >= threshold - SLACK
+                near = product + left[:, None] * y.suffix[step] >= threshold - SLACK
                 if np.count_nonzero(near) * 10 < near.size:
                     i, j = np.nonzero(near)
                     total = product[i, j]
             else:
                 total = total + np.einsum("ij,ij->i", a[lo + i, begin:end], b[j, begin:end])
-                near = total + left[i] * suffix[1][step][j] >= threshold - SLACK
+                near = total + left[i] * y.suffix[step][j] >= threshold - SLACK
                 i, j, total = i[near], j[near], total[near]
             begin = end
         links = np.zeros(product.shape, bool)
         if i is None:  # most pairs are near: verify the block at once
-            links = ux[rows] @ uy.T >= threshold
+            links = x.unit[rows] @ y.unit.T >= threshold
         elif len(i):
-            links[i, j] = np.einsum("ij,ij->i", ux[lo + i], uy[j]) >= threshold
+            links[i, j] = np.einsum("ij,ij->i", x.unit[lo + i], y.unit[j]) >= threshold
         yield lo, links
 
 
+def pair_links(x: Side, y: Side, same: bool, threshold: float) -> pa.RecordBatch:
+    """(id, links, root) of the vectors linked between two tiles, or inside one."""
+    ids, times = np.concatenate([x.ids, y.ids]), np.concatenate([x.times, y.times])
+    n, labels, counts = len(x.ids), np.arange(len(ids)), np.zeros(len(ids))
+    for lo, links in linked(x, y, threshold):
+        hi = lo + len(links)
+        if same:  # each pair once, no vector with itself
+            links &= np.arange(lo, hi)[:, None] < np.arange(len(y.ids))
+        counts[lo:hi] += links @ times[n:].astype(float)
+        counts[n:] += times[lo:hi].astype(float) @ links
+        i, j = np.nonzero(links)
+        merge(labels, i + lo, j + (0 if same else n))
+    if same:
+        counts[:n] += counts[n:]
+        counts[n:] = 0
+    own = np.flatnonzero(counts)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids[own]), pa.array(counts[own].astype(np.int64)), pa.array(ids[labels[own]])], ["id", "links", "root"])
+
+
 def compare(found: DataFrame, pairs: DataFrame, dims: int, rotation: np.ndarray, threshold: float) -> DataFrame:
     """(id, links, root) per vector with a link in a pair of tiles: the number
-    of vectors linked there, and the least row reached there."""
+    of vectors linked there, and the least row reached there.
+
+    Tiles meet in the cells of a grid of tile groups, up to 16 neighbours in
+    the tiles' order a group. A tile goes once to each cell in which it has a
+    pair, not once for each pair; a cell holds the tiles of its one group and
+    streams those of the other past them."""
+    group = lambda c: F.shiftright(F.shiftright(c, 32), GROUP_BITS) * F.lit(1 << 31) + F.shiftright(
+        F.col(c).bitwiseAND(F.lit((1 << 32) - 1)), GROUP_BITS)
+    met = pairs.select(group("s").alias("down"), group("t").alias("across"), "s", "t")
+    held = met.select("down", "across", F.lit(0).alias("kind"), F.col("s").alias("tile"),
+                      F.array().cast("array<long>").alias("others")).distinct()
+    passing = met.groupBy("down", "across", F.col("t").alias("tile")).agg(F.collect_list("s").alias("others"))
+    needed = held.unionAll(passing.select("down", "across", F.lit(1), "tile", "others"))
+    rows = needed.join(found.select("tile", "ids", "times", "data"), "tile").select(
+        "down", "across", "kind", "tile", "others", "ids", "times", "data")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, sides = None, {}
         for batch in batches:
             for row in range(batch.num_rows):
-                s, t, *sides = (c[row].as_py() for c in batch.columns)
-                ids, times = (np.concatenate([np.frombuffer(sides[k], "<i8"), np.frombuffer(sides[k + 3], "<i8")])
-                              for k in (0, 1))
-                x, y = (np.frombuffer(sides[k], "<f8").reshape(-1, dims) for k in (2, 5))
-                n, labels, counts = len(x), np.arange(len(ids)), np.zeros(len(ids))
-                for lo, links in linked(x, y, rotation, threshold):
-                    hi = lo + len(links)
-                    if s == t:  # each pair once, no vector with itself
-                        links &= np.arange(lo, hi)[:, None] < np.arange(len(y))
-                    counts[lo:hi] += links @ times[n:].astype(float)
-                    counts[n:] += times[lo:hi].astype(float) @ links
-                    i, j = np.nonzero(links)
-                    merge(labels, i + lo, j + (0 if s == t else n))
-                if s == t:
-                    counts[:n] += counts[n:]
-                    counts[n:] = 0
-                own = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[own]), pa.array(counts[own].astype(np.int64)), pa.array(ids[labels[own]])],
-                    ["id", "links", "root"])
-
-    sides = [found.select(F.col("tile").alias(k), *[F.col(c).alias(f"{k}_{c}") for c in ("ids", "times", "data")])
-             for k in ("s", "t")]
-    joined = pairs.join(sides[0], "s").join(sides[1], "t").select(
-        "s", "t", *[f"{k}_{c}" for k in ("s", "t") for c in ("ids", "times", "data")])
-    return map_arrow(joined, run, "id long, links long, root long")
+                down, across, kind, tile, others, *data = (c[row].as_py() for c in batch.columns)
+                if (down, across) != cell:
+                    cell, sides = (down, across), {}
+                side = sides[tile] if kind and tile in sides else Side(*data, rotation)
+                if not kind:
+                    sides[tile] = side
+                for other in others:
+                    yield pair_links(sides[other], side, other == tile, threshold)
+
+    dealt = rows.repartition("down", "across").sortWithinPartitions("down", "across", "kind", "tile")
+    return map_arrow(dealt, run, "id long, links long, root long")
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
