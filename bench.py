@@ -54,6 +54,10 @@ def headline(spark, sf_dir):
         "kmeans": lambda: _kmeans(spark, sf_dir, compact=True),
         "kmeans_uncompacted": lambda: _kmeans(spark, sf_dir, compact=False),
         "kmeans_45": lambda: catalogue.run_kmeans_45(spark, sf_dir).centers,
+        "kmeans_assign_many": lambda: _collect(catalogue.kmeans_assign_many(spark, sf_dir)),
+        "weighted_medians": lambda: _collect(catalogue.weighted_medians(spark, sf_dir)),
+        "rank_terms_vocab_table": lambda: _collect(catalogue.rank_terms_vocab_table(spark, sf_dir)),
+        "stored_index_rank": lambda: _collect(catalogue.stored_index_rank(spark, sf_dir)),
         "cluster_results": lambda: _collect(catalogue.cluster_results(spark, sf_dir)),
         "time_usage_grouped": lambda: _collect(catalogue.time_usage_grouped(spark, sf_dir)),
         "time_usage_grouped_sql": lambda: _collect(catalogue.time_usage_grouped_sql(spark, sf_dir)),

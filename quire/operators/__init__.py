@@ -1,7 +1,10 @@
-"""Operators: each is a function DataFrame (+ parameters) -> lazy DataFrame.
+"""Operators: each is a function DataFrame (+ parameters) -> DataFrame, lazy
+unless its plan depends on a measure.
 
-Three places run jobs while a plan is built: the k-means loop (one small
-aggregate per round; the k centres come back to the driver), and the two
-reliable checkpoints (`clustering.materialize`, and the first stage of
-`articles.inverted_index_blocks`), which write to `spark.checkpoint.dir`.
+Jobs run while a plan is built in the k-means loop (one small aggregate per
+round; the k centres come back to the driver), for the hot questions of a
+pairing (one sketch), the range of a median's values, the size of a vocabulary
+table, and for the reliable checkpoints (`clustering.materialize`, the first
+stage of `articles.inverted_index_blocks`), which write to
+`spark.checkpoint.dir`.
 """
