@@ -1,6 +1,7 @@
 """Each operator's query on the small shared tables against a plain version."""
 
 import collections
+import functools
 import html
 import re
 import zlib
@@ -32,9 +33,15 @@ def result(spark, name):
     return [r.asDict() for r in QUERIES[name](spark, SF).collect()]
 
 
-def plain_ids(name, end, text):
+@functools.cache
+def whole_tokenizer(name):
     t = Tokenizer.from_file(tokenizer_path(name))
     t.encode_special_tokens = True
+    return t
+
+
+def plain_ids(name, end, text):
+    t = whole_tokenizer(name)
     return np.array(t.encode(text or "", add_special_tokens=False).ids + [end], "<u4")
 
 
@@ -118,13 +125,16 @@ def test_simple8b_round_trip(values):
     assert np.concatenate([ids[:0], *blocks]).tolist() == ids.tolist()
 
 
+def plain_fingerprint(text):
+    w = re.findall(WORD, re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(w[k:k + 4]) for k in range(max(1, len(w) - 3))] if w else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
 def test_simhash(spark, docs):
-    ids, fps = sorted(docs), []
-    for i in ids:
-        w = re.findall(WORD, re.sub("[A-Z]", lambda m: m[0].lower(), docs[i]["text"] or ""))
-        shingles = [" ".join(w[k:k + 4]) for k in range(max(1, len(w) - 3))] if w else []
-        hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
-        fps.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)))
+    ids = sorted(docs)
+    fps = [plain_fingerprint(docs[i]["text"]) for i in ids]
     near = [(a, b) for a in range(len(ids)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 4]
     want = [(ids[k], f"{fps[k]:016x}", ids[c]) for k, c in enumerate(classes(len(ids), near))]
     assert sorted(tuple(r.values()) for r in result(spark, "op4_simhash_near_dedup")) == want
