@@ -374,18 +374,19 @@ def group_medians(values: DataFrame, key: str, value: str, weight: str) -> DataF
         shift = top - DIGIT_BITS * (d + 1)
         digit = F.shiftright(offset, shift) if shift < 64 else F.lit(0).cast("bigint")
         if sought is None:
+            group = Window.partitionBy("g")
             counted = rows.groupBy("g", digit.alias("digit")).agg(F.sum("w").alias("n"))
-            counted = counted.withColumn("size", F.sum("n").over(Window.partitionBy("g")))
-            counted = counted.withColumn("which", F.explode(F.array(F.lit(0), F.lit(1))))
+            found = counted.withColumn("before", F.sum("n").over(group.orderBy("digit")) - F.col("n")).withColumn(
+                "size", F.sum("n").over(group)).withColumn("which", F.explode(F.array(F.lit(0), F.lit(1))))
             first, second = rank(F.col("size"))
-            counted = counted.withColumn("rank", F.when(F.col("which") == 0, first).otherwise(second))
+            found = found.withColumn("rank", F.when(F.col("which") == 0, first).otherwise(second))
         else:
             known = F.broadcast(sought.withColumnsRenamed({"g": "_g"}))  # two rows for each group
             near = F.col("g").eqNullSafe(F.col("_g")) & (F.shiftright(offset, shift + DIGIT_BITS) == F.col("prefix"))
             counted = (rows.join(known, near)
                        .groupBy("g", "which", "rank", digit.alias("digit")).agg(F.sum("w").alias("n")))
-        before = Window.partitionBy("g", "which").orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)
-        found = counted.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+            upto = F.sum("n").over(Window.partitionBy("g", "which").orderBy("digit"))
+            found = counted.withColumn("before", upto - F.col("n"))
         sought = (found.where((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("before") + F.col("n")))
                   .select("g", "which", (F.col("rank") - F.col("before")).alias("rank"), F.col("digit").alias("prefix")))
     middles = sought.groupBy("g").agg(F.min("prefix").alias("a"), F.max("prefix").alias("b"))
