@@ -77,3 +77,18 @@ def test_a_very_long_page(spark):
     rows += [(9, "http://h.example/long", f"<div>{NOTICE}</div><p>{body}</p>")]
     found = texts(spark, rows)
     assert found[9] == body and found[0] == own(0)
+
+
+def test_what_an_article_does_not_declare_as_its_text_goes_by_repeats(spark):
+    links = "home products about us contact imprint press jobs blog help"
+    shared = "the same lead stands over each part of this series"
+    page = lambda i: (f"<article><ul><li>{links}</li></ul><h1>{shared}</h1><p>{shared} <b>{i}</b></p>"
+                      f"<div>{NOTICE}</div><blockquote><div>{shared}</div></blockquote>{own(i)}</article>")
+    rows = [(i, "http://h.example/x", page(i)) for i in range(30)]
+    # an article that mostly consists of repeats is a copy; two pages are too few for boilerplate
+    rows += [(100 + i, "http://g.example/x", f"<article>{NOTICE} {own(i, 9)}</article>") for i in range(30)]
+    rows += [(200 + i, "http://f.example/x", f"<article>{NOTICE} {own(i)}</article>") for i in range(2)]
+    found = texts(spark, rows)
+    assert {i: found[i] for i in range(30)} == {i: f"{shared} {shared} {i} {shared} {own(i)}" for i in range(30)}
+    assert {i: found[100 + i] for i in range(30)} == {i: f"{NOTICE} {own(i, 9)}" for i in range(30)}
+    assert {i: found[200 + i] for i in range(2)} == {i: f"{NOTICE} {own(i)}" for i in range(2)}
