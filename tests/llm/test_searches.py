@@ -190,6 +190,89 @@ def test_hard_negatives(spark, monkeypatch, cells):
                                  F.lit(True))
 
 
+def cells_of(v, label, every, feed):
+    """A cell's positives and negatives as (anchor, place, id, score), fed by parts; the anchors are every so many rows."""
+    ids, at = np.arange(len(v)), np.arange(0, len(v), every)
+    bits = 1 + int(max(-v.min() - 1, v.max(), 0)).bit_length()
+    v = np.pad(v, ((0, 0), (0, -v.shape[1] % 8)))
+    planes, shape = negatives.planes_of(v, bits), (bits, v.shape[1] // 8)
+    wide = v.shape[1] << 2 * (bits - 1) >= 1 << 31
+    anchors = pa.table({"key": ids[at], "label": label[at], "data": pa.array([planes[i].tobytes() for i in at])})
+
+    def result(cell):
+        for lo in range(0, len(v), feed):
+            cell.feed(*(x[lo:lo + feed] for x in (ids, ids, label, planes)))
+        return [c.to_pylist() for c in cell.result().columns]
+
+    key, found, score = result(negatives.Positives(anchors, shape, wide, 5))
+    best = {i: [] for i in at.tolist()}
+    for k, s, i in sorted(zip(key, score, found), key=lambda x: (x[0], -x[1], x[2])):
+        best[k].append((s, i))
+    scores = pa.array([[s for s, _ in best[i]] for i in at.tolist()], pa.list_(pa.int64()))
+    key, number, other, score = result(negatives.Negatives(anchors.append_column("scores", scores), shape, wide, 3, 50, 95))
+    return best, sorted(zip(key, number, other, score))
+
+
+def plain_cells(v, label, every):
+    best, found = {}, []
+    for a in range(0, len(v), every):
+        score = [sum(x * y for x, y in zip(v[a].tolist(), w)) for w in v.tolist()]
+        order = sorted(range(len(v)), key=lambda i: (-score[i], i))
+        best[a] = [(score[i], i) for i in order if label[i] == label[a] and i != a][:5]
+        for k, (p, _) in enumerate(best[a]):
+            found += [(a, k, i, score[i]) for i in order
+                      if label[i] != label[a] and 50 * p <= 100 * score[i] <= 95 * p][:3]
+    return best, sorted(found)
+
+
+def unit_vectors(rng, rows, dims=64):
+    v = rng.standard_normal((rows, dims))
+    return np.floor(256 * v / np.linalg.norm(v, axis=1)[:, None]).astype(np.int64)
+
+
+VECTORS = {
+    "even": lambda rng: unit_vectors(rng, 700),
+    "copies": lambda rng: np.repeat(unit_vectors(rng, 70, 20), 10, axis=0)[rng.permutation(700)],
+    "one": lambda rng: np.full((300, 5), 7),
+    "far from zero": lambda rng: 1_000_000 + rng.integers(-3, 4, (400, 9)),
+    "uneven": lambda rng: (rng.standard_normal((500, 12)) * 4.0 ** np.arange(12)).astype(np.int64),
+    "wide": lambda rng: rng.integers(-2**28, 2**28, (400, 8)),
+    "few values": lambda rng: rng.integers(-1, 2, (600, 16)),
+}
+
+
+@pytest.mark.parametrize("parts", [(0.012, 0.08), (0.0, 1.0), (1.0, 1.0), (0.0, -1.0)])
+@pytest.mark.parametrize("kind", VECTORS)
+def test_cells_give_what_all_products_give(monkeypatch, kind, parts):
+    """By as few planes as will do, by all steps, by the first steps, by all planes."""
+    for name, value in zip(("NEXT_PLANE", "ALL_PLANES"), parts):
+        monkeypatch.setattr(negatives, name, value)
+    monkeypatch.setattr(negatives, "ANCHORS_AT_ONCE", 7)
+    monkeypatch.setattr(negatives, "ROWS_AT_ONCE", 50)
+    monkeypatch.setattr(negatives, "PAIRS_AT_ONCE", 40)
+    rng = np.random.default_rng(3)
+    v = VECTORS[kind](rng)
+    label = rng.integers(0, 4, len(v))
+    label[0] = 9  # alone with its label
+    assert cells_of(v, label, 20, 300) == plain_cells(v, label, 20)
+
+
+def test_few_pairs_need_all_planes(monkeypatch):
+    """Scoring every pair by all planes took too long on large tables."""
+    exact = collections.Counter()
+
+    def counted(name, pairs):
+        old = getattr(*name)
+        monkeypatch.setattr(*name, lambda *x: (exact.update(n=pairs(*x)), old(*x))[1])
+
+    counted((negatives, "products"), lambda v, anchors, r, a: len(r))
+    counted((negatives.Block, "whole"), lambda block, rows: (rows.stop - rows.start) * len(block.some))
+    rng = np.random.default_rng(4)
+    v, label = unit_vectors(rng, 60_000), rng.integers(0, 10, 60_000)
+    cells_of(v, label, 1200, 32_768)
+    assert exact["n"] < 0.1 * 1.1 * 60_000 * 50
+
+
 # --- lexical search ----------------------------------------------------------
 
 def plain_ranking(docs, items, top=10):
