@@ -53,8 +53,8 @@ STEP_BITS = 5
 FIRST_BITS = 3
 REACH = 2.5
 #: Parts of a block's pairs above which the next plane of the steps follows, and all planes in the end.
-NEXT_PLANE = 0.012
-ALL_PLANES = 0.08
+NEXT_PLANE = 0.02
+ALL_PLANES = 0.3
 #: Pairs that are scored exactly at once.
 PAIRS_AT_ONCE = 4096
 
@@ -241,16 +241,20 @@ class Block:
         n, wide = len(self.rows.key), len(self.some)
         totals, lookeds = (np.empty((ROWS_AT_ONCE, wide), self.table.dtype) for _ in range(2))
         self.refresh()
+        begin = FIRST_BITS
         for lo in range(0, n, ROWS_AT_ONCE):
             hi = min(lo + ROWS_AT_ONCE, n)
             total, looked = totals[:hi - lo], lookeds[:hi - lo]
             for k in range(STEP_BITS):
                 self.look(total, looked, k, slice(lo, hi))
-                if k + 1 >= FIRST_BITS:
-                    rest = float(self.rows.rests[k + 1][lo:hi].max())
-                    left = np.flatnonzero(total >= self.limits(k + 1, rest))
-                    if len(left) <= NEXT_PLANE * total.size:
-                        break
+                if k + 1 < begin:
+                    continue
+                rest = float(self.rows.rests[k + 1][lo:hi].max())
+                left = total >= self.limits(k + 1, rest)
+                if np.count_nonzero(left) <= NEXT_PLANE * total.size:
+                    break
+            begin = max(FIRST_BITS, k)  # later blocks need hardly more planes
+            left = np.flatnonzero(left)
             if len(left) > ALL_PLANES * total.size:
                 self.whole(slice(lo, hi))
             elif len(left):
@@ -261,31 +265,33 @@ class Block:
 
     def look(self, total: np.ndarray, looked: np.ndarray, k: int, rows: slice) -> None:
         """Add plane k of the steps to the products of those before it."""
-        if k == 0:
-            total[:] = 0
-        else:
+        if k:
             total += total
         for g, table in enumerate(self.table):
-            np.take(table, self.rows.steps[k, g, rows], axis=0, out=looked, mode="clip")
-            (np.subtract if k == 0 else np.add)(total, looked, out=total)
+            np.take(table, self.rows.steps[k, g, rows], axis=0, out=looked if k or g else total, mode="clip")
+            if k or g:
+                total += looked
+        if k == 0:  # the top plane, as in two's complement
+            np.negative(total, out=total)
 
     def whole(self, rows: slice) -> None:
         """Score a block of pairs by all planes."""
         cell, some = self.cell, self.some
-        found = scores(self.rows.planes[rows], self.table, cell.dtype).astype(np.int64)
-        lowest = np.iinfo(np.int64).min
-        r, a = (x.ravel() for x in np.indices(found.shape))
-        fit = cell.allowed(self.rows, r + rows.start, some[a]).reshape(found.shape)
+        found = scores(self.rows.planes[rows], self.table, cell.dtype)
+        lowest, most = np.iinfo(cell.dtype).min, np.iinfo(cell.dtype).max
+        fit = cell.allowed(self.rows, np.arange(rows.start, rows.stop)[:, None], some)
+        keep = min(cell.lists.keep, len(found))
         for w in range(self.width):
             has = np.flatnonzero(cell.first[some] + w < cell.first[some + 1])
+            own = slice(None) if len(has) == len(some) else has
             slot = cell.first[some[has]] + w
-            ok = fit[:, has] & (found[:, has] >= cell.enter(slot)) & (found[:, has] <= cell.high[slot])
+            low, high = (np.clip(x, lowest, most).astype(cell.dtype) for x in (cell.enter(slot), cell.high[slot]))
+            ok = fit[:, own] & (found[:, own] >= low) & (found[:, own] <= high)
             # of each list the best of these rows
-            best = np.where(ok, found[:, has], lowest)
-            keep = min(cell.lists.keep, len(best))
+            best = np.where(ok, found[:, own], lowest)
             ok &= best >= np.partition(best, len(best) - keep, axis=0)[len(best) - keep]
-            r, a = np.nonzero(ok)
-            cell.lists.add(slot[a], best[r, a], self.rows.ids[rows][r])
+            r, a = np.divmod(np.flatnonzero(ok), len(has))
+            cell.lists.add(slot[a], best[r, a].astype(np.int64), self.rows.ids[rows][r])
         self.refresh()
 
     def score(self) -> None:
@@ -404,7 +410,7 @@ def over_grid(anchors: DataFrame, rows: DataFrame, grid: tuple[int, int], make,
                        F.lit(0).cast("long").alias("vec_id"), "label", "data", "scores")
     b = rows.select(cells(c, across, down).alias("cell"), F.lit(1).alias("kind"), "key", "vec_id", "label", "data",
                     F.lit(None).cast("array<long>").alias("scores"))
-    dealt = a.unionAll(b).repartition(down * across, "cell").sortWithinPartitions("cell", "kind")
+    dealt = a.unionAll(b).repartitionById(down * across, "cell").sortWithinPartitions("cell", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, waiting, past, rows = None, [], None, []
